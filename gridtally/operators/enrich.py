@@ -220,16 +220,17 @@ def without_region_factors(df: DataFrame) -> DataFrame:
     return df.drop(*[f"_rg_{name}" for name in _REGION_FIELDS])
 
 
-def _efficiency(df: DataFrame, run: Run) -> DataFrame:
-    df = with_region_factors(df, run)
-    named, known = F.col(C.REGION), F.col("_rg_known")
+def region_measure(run: Run, measure: str) -> Column:
+    """PUE or WUE of a row's region: by name, else by pattern; NULL without a region."""
+    named = F.col(C.REGION)
+    by_pattern = run.factors.pattern_value(run.provider, named, measure)
+    return F.when(F.col("_rg_known"), F.col(f"_rg_{measure}")).when(present(named), by_pattern)
 
-    def resolve(measure: str) -> Column:
-        by_pattern = run.factors.pattern_value(run.provider, named, measure)
-        return F.when(known, F.col(f"_rg_{measure}")).when(present(named), by_pattern)
 
-    pue = F.coalesce(resolve("pue"), F.lit(run.param("default", DEFAULT_PUE)))
-    return run.put(df, **{C.PUE: pue, C.WUE: resolve("wue")})
+def _efficiency(df: DataFrame, run: Run) -> DataFrame:
+    df = with_region_factors(df, run)
+    pue = F.coalesce(region_measure(run, "pue"), F.lit(run.param("default", DEFAULT_PUE)))
+    return run.put(df, **{C.PUE: pue, C.WUE: region_measure(run, "wue")})
 
 
 efficiency = Operator("efficiency", lambda provider, layout: [C.REGION], (C.PUE, C.WUE), _efficiency)

@@ -442,10 +442,11 @@ def pue_wue_azure(spark, sf_dir):
 
 @query("join_region_pattern", aws_sql("SELECT region, pue, wue FROM regf"))
 def join_region_pattern(spark, sf_dir):
-    regions = partial(spark, sf_dir, C.AWS, C.NATIVE, ops.region, ops.efficiency)
-    known = regions.where("region <> ''").groupBy(C.REGION).agg(F.max(C.PUE).alias("pue"), F.max(C.WUE).alias("wue"))
-    # The operator fills in the default PUE, the factor table does not.
-    return known.withColumn("pue", F.when(F.col(C.REGION) != "xx-nowhere-9", F.col("pue")))
+    used = partial(spark, sf_dir, C.AWS, C.NATIVE, ops.region).where("region <> ''").select(C.REGION).distinct()
+    run = Run(C.AWS, C.NATIVE, W.sample_factors(spark, C.AWS))
+    return ops.with_region_factors(used, run).select(
+        C.REGION, ops.region_measure(run, "pue").alias("pue"), ops.region_measure(run, "wue").alias("wue")
+    )
 
 
 @query(

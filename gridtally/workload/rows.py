@@ -9,6 +9,7 @@ line-item scan with two small lookups, so work grows with the table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,7 +151,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=4)
 def sample_factors(spark: SparkSession, provider: str) -> Factors:
+    """The fixed tables and the sample coefficients, made once per session."""
     rows = SAMPLE_AZURE_COMPUTE if provider == C.AZURE else SAMPLE_AWS_COMPUTE
     return (
         Factors.default(spark)
