@@ -83,7 +83,6 @@ def apply_region_fixes(regions: DataFrame, unresolved: DataFrame, fixes: DataFra
     unresolved entry, found by name, a code, and ``edit`` replaces single
     fields. What already sits at the target of a move or promotion gives way.
     """
-    fixes = F.broadcast(fixes)
     moves = fixes.where("action = 'move'").select("provider", F.col("source").alias("region"), "target")
     promotions = fixes.where("action = 'promote'").select("provider", F.col("source").alias("name"), "target")
     edits = fixes.where("action = 'edit'").select(
@@ -91,18 +90,18 @@ def apply_region_fixes(regions: DataFrame, unresolved: DataFrame, fixes: DataFra
         F.col("source").alias("region"),
         *[F.col(c).alias(f"_{c}") for c in ("latitude", "longitude", "metro_area", "name")],
     )
-    keyed = regions.join(F.broadcast(moves), ["provider", "region"], "left")
+    keyed = regions.join(moves, ["provider", "region"], "left")
     taken = (
         moves.select("provider", F.col("target").alias("region"))
         .unionByName(promotions.select("provider", F.col("target").alias("region")))
     )
     moved = keyed.where("target IS NOT NULL").select("provider", F.col("target").alias("region"), *REGION_FIELDS)
-    stayed = keyed.where("target IS NULL").drop("target").join(F.broadcast(taken), ["provider", "region"], "left_anti")
-    promoted = unresolved.join(F.broadcast(promotions), ["provider", "name"]).select(
+    stayed = keyed.where("target IS NULL").drop("target").join(taken, ["provider", "region"], "left_anti")
+    promoted = unresolved.join(promotions, ["provider", "name"]).select(
         "provider", F.col("target").alias("region"), *REGION_FIELDS
     )
     merged = stayed.select("provider", "region", *REGION_FIELDS).unionByName(moved).unionByName(promoted)
-    edited = merged.join(F.broadcast(edits), ["provider", "region"], "left")
+    edited = merged.join(edits, ["provider", "region"], "left")
     fields = [
         F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c) if c != "country" else F.col(c) for c in REGION_FIELDS
     ]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import columns as C
@@ -86,10 +86,10 @@ def lookup(df: DataFrame, dim: Dim, key: Column, dim_key: str, prefix: str) -> D
     return df.join(side, key == F.col(prefix + dim_key), "left").drop(prefix + dim_key)
 
 
-def latest_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the first in the given order."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+def last_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """One row per key, the last in the given order; combined on the map side."""
+    row = F.max_by(F.struct(*df.columns), F.col(order)).alias("_row")
+    return df.groupBy(*keys).agg(row).select("_row.*")
 
 
 EFFICIENCY_SCHEMA = "ordinal int, region string, pue double, wue double"
@@ -121,6 +121,7 @@ class Factors:
     compute: Dim
     tokens: Dim
     patterns: dict[str, list[tuple[str, float | None, float | None]]] = field(default_factory=dict)
+    _merged: dict[str, Dim] = field(default_factory=dict, init=False, repr=False, compare=False)
 
     @staticmethod
     def default(spark: SparkSession) -> Factors:
@@ -194,6 +195,11 @@ class Factors:
         are resolved here for all known regions, so that patterns are only
         tried on a row whose region no table names.
         """
+        if provider not in self._merged:
+            self._merged[provider] = self._region_dim(provider)
+        return self._merged[provider]
+
+    def _region_dim(self, provider: str) -> Dim:
         key = C.FACTOR_PROVIDER[provider]
         none = F.lit(None).cast("double")
 
@@ -242,11 +248,12 @@ class Factors:
 
     def token_dim(self) -> Dim:
         """Label -> coefficients: the two hops merged ahead of the usage join."""
-        frame = (
-            self.labels.frame.join(self.tokens.frame, ["provider", "model"])
-            .select("label", "kwh_per_1k", (F.col("kg_per_1k") * F.lit(1000.0)).alias("g_per_1k"))
-        )
-        return Dim(frame, self.labels.small)
+        if "tokens" not in self._merged:
+            frame = self.labels.frame.join(self.tokens.frame, ["provider", "model"]).select(
+                "label", "kwh_per_1k", (F.col("kg_per_1k") * F.lit(1000.0)).alias("g_per_1k")
+            )
+            self._merged["tokens"] = Dim(frame, self.labels.small)
+        return self._merged["tokens"]
 
 
 COMPUTE_SCHEMA = "instance_type string, kwh double, embodied_g double, depletion_g double"
@@ -320,7 +327,7 @@ def parse_factor_lines(lines: DataFrame, kind: str) -> DataFrame:
         numbers = names[first_number:]
         number = "int" if kind == "stress" else "double"
         frame = frame.withColumns({m: F.col(m).try_cast(number) for m in numbers}).dropna(subset=list(numbers))
-    last = latest_row(frame, keys, [F.desc("line_no")])
+    last = last_per_key(frame, keys, "line_no")
     if kind == "efficiency":
         return last.select(F.col("line_no").cast("bigint").alias("ordinal"), "region", "pue", "wue")
     return last.drop("line_no")

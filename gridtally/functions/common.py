@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,7 +103,11 @@ def tags_as_map(df: DataFrame, name: str = "Tags") -> Column | None:
 def ends_with_any(text: Column, tokens: Sequence[str]) -> Column:
     """True if the text ends with any token.
 
-    A chain of suffix tests stays on the raw bytes; one alternation pattern with
-    the same tokens is about ten times slower.
+    The reversed text is matched against one pattern anchored at its start.
+    That fails on the first letter of nearly every token, and compiles to a few
+    instructions: a chain of suffix tests makes the generated method too large
+    for the JVM to compile, and an alternation anchored at the end is tried at
+    every letter of the text.
     """
-    return reduce(or_, [text.endswith(token) for token in tokens])
+    backwards = "|".join(r"\Q" + token[::-1] + r"\E" for token in tokens)
+    return F.reverse(text).rlike(f"^(?:{backwards})")

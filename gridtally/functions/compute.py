@@ -41,8 +41,11 @@ def gpu_type(product: Column, operation: Column, instance: Column) -> Column:
     return F.when((product == "AmazonEC2") & operation.startswith("RunInstances"), instance)
 
 
-def gpu_energy(amount: Column, gpus: Column, idle_w: Column, full_w: Column, percent: float) -> Column:
-    watts = idle_w + F.lit(percent / 100) * (full_w - idle_w)
+def gpu_watts(idle_w: Column, full_w: Column, percent: float) -> Column:
+    return idle_w + F.lit(percent / 100) * (full_w - idle_w)
+
+
+def gpu_energy(amount: Column, watts: Column, gpus: Column) -> Column:
     return amount * watts * gpus / F.lit(1000.0)
 
 
@@ -56,12 +59,13 @@ def serverless_energy(
 ) -> Column:
     """Container tasks, or else serverless clusters: by memory and by vCPU."""
     per_cpu = F.when(usage_type.contains("-ARM-"), F.lit(arm)).otherwise(F.lit(x86))
-    fargate = operation.eqNullSafe("FargateTask")
-    cluster = ~fargate & usage_type.contains("EMR-SERVERLESS")
-    rate = (
-        F.when(fargate & usage_type.endswith("-GB-Hours"), F.lit(memory))
-        .when(fargate & usage_type.endswith("-vCPU-Hours:perCPU"), per_cpu)
-        .when(cluster & usage_type.endswith("MemoryGBHours"), F.lit(memory))
-        .when(cluster & usage_type.endswith("-vCPUHours"), per_cpu)
+    rate = F.when(
+        operation.eqNullSafe("FargateTask"),
+        F.when(usage_type.endswith("-GB-Hours"), F.lit(memory)).when(
+            usage_type.endswith("-vCPU-Hours:perCPU"), per_cpu
+        ),
+    ).when(
+        usage_type.contains("EMR-SERVERLESS"),
+        F.when(usage_type.endswith("MemoryGBHours"), F.lit(memory)).when(usage_type.endswith("-vCPUHours"), per_cpu),
     )
     return amount * rate

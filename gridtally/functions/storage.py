@@ -45,37 +45,39 @@ def media(operation: Column, unit: Column, usage_type: Column, service: Column)
     return by_media(operation, unit, usage_type, service, F.lit("SSD"), F.lit("HDD"))
 
 
+# Rules by service: text in the usage type (blank for any) and the factor's name.
+COPY_RULES = {
+    "AmazonS3": (
+        ("TimedStorage-ZIA", "S3_ONE_ZONE_REDUCED_REDUNDANCY"),
+        ("EarlyDelete-ZIA", "S3_ONE_ZONE_REDUCED_REDUNDANCY"),
+        ("TimedStorage-RRS", "S3_ONE_ZONE_REDUCED_REDUNDANCY"),
+        ("TimedStorage", "S3"),
+        ("EarlyDelete", "S3"),
+    ),
+    "AmazonEC2": (("VolumeUsage", "EC2_EBS_VOLUME"), ("SnapshotUsage", "EC2_EBS_SNAPSHOT")),
+    "AmazonEFS": (("ZIA", "EFS_ONE_ZONE"), ("", "EFS")),
+    "AmazonRDS": (("BackupUsage", "RDS_BACKUP"), ("Aurora", "RDS_AURORA"), ("Multi-AZ", "RDS_MULTI_AZ")),
+    "AmazonDocDB": (("BackupUsage", "DOCUMENT_DB_BACKUP"), ("", "DOCUMENT_DB_STORAGE")),
+    "AmazonDynamoDB": (("", "DYNAMO_DB"),),
+    "AmazonECR": (("TimedStorage", "ECR_STORAGE"),),
+    "AmazonElastiCache": (("BackupUsage", "DOCUMENT_ELASTICACHE_BACKUP"),),
+    "AmazonSimpleDB": (("TimedStorage", "SIMPLE_DB"),),
+}
+
+
 def copies(service: Column, usage_type: Column) -> Column:
-    """How many times AWS keeps a stored byte."""
-
-    def rule(name: str) -> Column:
-        return F.lit(COPIES[name])
-
-    single = rule("DEFAULT")
-    backup = usage_type.contains("BackupUsage")
-    timed = usage_type.contains("TimedStorage")
-    one_zone = usage_type.rlike("TimedStorage-ZIA|EarlyDelete-ZIA|TimedStorage-RRS")
-    per_service = {
-        "AmazonS3": F.when(one_zone, rule("S3_ONE_ZONE_REDUCED_REDUNDANCY")).when(
-            timed | usage_type.contains("EarlyDelete"), rule("S3")
-        ),
-        "AmazonEC2": F.when(usage_type.contains("VolumeUsage"), rule("EC2_EBS_VOLUME")).when(
-            usage_type.contains("SnapshotUsage"), rule("EC2_EBS_SNAPSHOT")
-        ),
-        "AmazonEFS": F.when(usage_type.contains("ZIA"), rule("EFS_ONE_ZONE")).otherwise(rule("EFS")),
-        "AmazonRDS": F.when(backup, rule("RDS_BACKUP"))
-        .when(usage_type.contains("Aurora"), rule("RDS_AURORA"))
-        .when(usage_type.contains("Multi-AZ"), rule("RDS_MULTI_AZ")),
-        "AmazonDocDB": F.when(backup, rule("DOCUMENT_DB_BACKUP")).otherwise(rule("DOCUMENT_DB_STORAGE")),
-        "AmazonDynamoDB": rule("DYNAMO_DB"),
-        "AmazonECR": F.when(timed, rule("ECR_STORAGE")),
-        "AmazonElastiCache": F.when(backup, rule("DOCUMENT_ELASTICACHE_BACKUP")),
-        "AmazonSimpleDB": F.when(timed, rule("SIMPLE_DB")),
-    }
-    chain = F
-    for name, value in per_service.items():
-        chain = chain.when((service == name) & usage_type.isNotNull(), value)
-    return F.coalesce(chain.otherwise(single), single)
+    """How many times AWS keeps a stored byte; the first rule that applies.
+
+    The rules are data to one small lambda. As a chain of conditions they would
+    make up most of the generated code of a plan, and push it past the size
+    that the JVM compiles.
+    """
+    entries = []
+    for name, rules in COPY_RULES.items():
+        pairs = [F.struct(F.lit(text).alias("text"), F.lit(COPIES[factor]).alias("copies")) for text, factor in rules]
+        entries += [F.lit(name), F.array(*pairs)]
+    fits = F.filter(F.create_map(*entries)[service], lambda rule: usage_type.contains(rule["text"]))
+    return F.coalesce(F.get(fits, F.lit(0))["copies"], F.lit(COPIES["DEFAULT"]))
 
 
 def per_gb_hour(wh_per_tb_hour: float) -> Column:

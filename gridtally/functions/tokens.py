@@ -18,6 +18,14 @@ def direction(usage_type: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(usage_type, TOKEN_USAGE, 2)), F.lit(""))
 
 
+OUTPUT_USAGE = r"^[^-]*-(.*)-(?i:output-tokens(?:-batch)?)$"
+
+
+def output_label(product: Column, usage_type: Column) -> Column:
+    """Lower-case model key of a billed output line; empty or NULL for others."""
+    return F.when(product == "AmazonBedrock", F.lower(F.regexp_extract(usage_type, OUTPUT_USAGE, 1)))
+
+
 def tokens_per_unit(unit: Column) -> Column:
     text = F.lower(F.trim(unit))
     return (

@@ -25,6 +25,7 @@ class Run:
     layout: str
     factors: Factors | None = None
     guard: Column | None = None
+    placed: bool = False  # the region is worked out before any step is applied
     params: Mapping[str, Any] = field(default_factory=dict)
 
     def name(self, logical: str) -> str | None:
@@ -43,20 +44,28 @@ class Run:
         except (TypeError, ValueError):
             return default
 
+    def amount(self) -> Column:
+        """Billed amount; in a plan it is NULL outside usage charges.
+
+        Whatever is worked out from it is then NULL there too, so that
+        operators need no test of their own.
+        """
+        return self.col("amount") if self.guard is None else F.col(GATED_AMOUNT)
+
     def only_usage(self, value: Column) -> Column:
-        """NULL outside usage charges; a lookup key made so matches nothing there."""
         return value if self.guard is None else F.when(self.guard, value)
 
     def put(self, df: DataFrame, **values: Column) -> DataFrame:
         """Set result columns where a value was worked out; keep them elsewhere."""
+        have = set(df.columns)
         return df.withColumns(
-            {
-                name: F.coalesce(self.only_usage(value), F.col(name)) if name in df.columns else self.only_usage(value)
-                for name, value in values.items()
-            }
+            {name: F.coalesce(value, F.col(name)) if name in have else value for name, value in values.items()}
         )
 
 
+# Helper columns of a plan: whether a row is a usage charge, and its amount if so.
+GATE, GATED_AMOUNT = "_usage", "_amount"
+
 Apply = Callable[[DataFrame, Run], DataFrame]
 Names = Callable[[str, str], list[str]]
 
@@ -66,16 +75,24 @@ class Operator:
     """An enrichment step: a function from frame to frame with declared columns.
 
     ``needs`` gives the physical input columns for a provider and layout;
-    ``adds`` the result columns. User-defined operators are built the same way
-    from DataFrame functions.
+    ``adds`` the result columns. ``prepare`` joins what the step looks up. A plan
+    prepares all its steps before it applies any: with the joins in one run and
+    nothing but projections after them, Catalyst merges those into very few,
+    and a wide row is copied few times. User-defined operators are built the
+    same way from DataFrame functions.
     """
 
     name: str
     needs: Names
     adds: tuple[str, ...]
     apply: Apply
+    prepare: Apply = lambda df, run: df
     types: Mapping[str, str] = field(default_factory=lambda: {**C.FOCUS_TYPES, **C.IMPACT_TYPES})
 
+    def __call__(self, df: DataFrame, run: Run) -> DataFrame:
+        """The step on its own, outside a plan."""
+        return self.apply(self.prepare(df, run), run)
+
     def type_of(self, column: str) -> str:
         return self.types.get(column) or {**C.FOCUS_TYPES, **C.IMPACT_TYPES}.get(column, "string")
 

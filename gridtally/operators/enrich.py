@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally import columns as C
-from gridtally.factors.tables import lookup
+from gridtally.factors.tables import Dim, lookup
 from gridtally.functions import bridge, compute, environment, network, storage, tokens
 from gridtally.functions.common import map_value, present
 from gridtally.operators.base import Operator, Run, bound
@@ -27,7 +27,7 @@ def _region(df: DataFrame, run: Run) -> DataFrame:
         region = F.lower("ResourceLocation")
     else:
         region = F.coalesce(*AWS_REGION_COLUMNS)  # codes keep their case here
-    return run.put(df, **{C.REGION: region})
+    return run.put(df, **{C.REGION: run.only_usage(region)})
 
 
 def _region_needs(provider: str, layout: str) -> list[str]:
@@ -36,7 +36,8 @@ def _region_needs(provider: str, layout: str) -> list[str]:
     return ["ResourceLocation"] if provider == C.AZURE else list(AWS_REGION_COLUMNS)
 
 
-region = Operator("region", _region_needs, (C.REGION,), _region)
+# Worked out ahead of the other steps, whose lookups need it.
+region = Operator("region", _region_needs, (C.REGION,), lambda df, run: df, _region)
 
 # --- energy -----------------------------------------------------------------
 
@@ -44,15 +45,13 @@ region = Operator("region", _region_needs, (C.REGION,), _region)
 def _storage(df: DataFrame, run: Run) -> DataFrame:
     hdd = run.param("hdd_coefficient_tb_h", storage.HDD_WH_PER_TB_HOUR)
     ssd = run.param("ssd_coefficient_tb_h", storage.SSD_WH_PER_TB_HOUR)
-    amount, unit = run.col("amount"), run.col("unit")
+    amount, unit = run.amount(), run.col("unit")
     if run.provider == C.AWS:
         energy = storage.aws_energy(
             run.col("operation"), unit, run.col("usage_type"), run.col("service_code"), amount, hdd, ssd
         )
         return run.put(df, **{C.ENERGY: energy})
     category, meter = run.col("category"), run.col("meter")
-    sku = run.only_usage(storage.azure_disk_sku(category, run.col("subcategory"), meter))
-    df = lookup(df, run.factors.disks, sku, "sku", "_disk_")
     energy = F.coalesce(
         storage.azure_capacity_energy(category, meter, unit, amount, ssd),
         storage.azure_disk_energy(unit, amount, F.col("_disk_gb"), F.col("_disk_media"), hdd, ssd),
@@ -60,11 +59,19 @@ def _storage(df: DataFrame, run: Run) -> DataFrame:
     return run.put(df, **{C.ENERGY: energy}).drop("_disk_gb", "_disk_media")
 
 
+def _storage_lookup(df: DataFrame, run: Run) -> DataFrame:
+    if run.provider == C.AWS:
+        return df
+    sku = storage.azure_disk_sku(run.col("category"), run.col("subcategory"), run.col("meter"))
+    return lookup(df, run.factors.disks, sku, "sku", "_disk_")
+
+
 storage_energy = Operator(
     "storage",
     bound("operation", "amount", "usage_type", "service_code", "unit", "category", "subcategory", "meter"),
     (C.ENERGY,),
     _storage,
+    _storage_lookup,
 )
 
 
@@ -75,13 +82,23 @@ def transfer_scope(df: DataFrame, run: Run, of: network.Scopes | None = None) ->
         return network.azure_scope(run.col("category"), run.col("subcategory"), of)
     if run.layout == C.FOCUS:
         return network.aws_focus_scope(run.col("service_code"), run.col("usage_type"), of)
-    return network.aws_scope(run.col("service_code"), map_value(df, run.name("product"), "transfer_type", ""), of)
+    return network.aws_scope(run.col("service_code"), map_value(df, run.name("product"), "transfer_type"), of)
 
 
 def _network(df: DataFrame, run: Run) -> DataFrame:
     given = run.params.get("network_coefficients_kwh_gb") or {}
     rates = network.rates(**{k: float(v) for k, v in given.items() if v is not None})
-    return run.put(df, **{C.ENERGY: run.col("amount") * transfer_scope(df, run, rates)})
+    if "_transfer" in df.columns:
+        scope = network.aws_scope(run.col("service_code"), F.col("_transfer"), rates)
+        return run.put(df, **{C.ENERGY: run.amount() * scope}).drop("_transfer")
+    return run.put(df, **{C.ENERGY: run.amount() * transfer_scope(df, run, rates)})
+
+
+def _network_lookup(df: DataFrame, run: Run) -> DataFrame:
+    """The transfer type is read out of its map once, not once per rule."""
+    if "product" not in C.binding(run.provider, run.layout):
+        return df
+    return df.withColumn("_transfer", map_value(df, run.name("product"), "transfer_type"))
 
 
 def _network_needs(provider: str, layout: str) -> list[str]:
@@ -91,7 +108,7 @@ def _network_needs(provider: str, layout: str) -> list[str]:
     return bound("service_code", usage, "amount")(provider, layout)
 
 
-network_energy = Operator("network", _network_needs, (C.ENERGY,), _network)
+network_energy = Operator("network", _network_needs, (C.ENERGY,), _network, _network_lookup)
 
 
 def raw_instance_type(run: Run) -> Column:
@@ -110,9 +127,12 @@ def instance_type(run: Run) -> Column:
     )
 
 
+def _compute_lookup(df: DataFrame, run: Run) -> DataFrame:
+    return lookup(df, run.factors.compute, instance_type(run), "instance_type", "_vm_")
+
+
 def _compute(df: DataFrame, run: Run) -> DataFrame:
-    amount = run.col("amount")
-    df = lookup(df, run.factors.compute, run.only_usage(instance_type(run)), "instance_type", "_vm_")
+    amount = run.amount()
     return run.put(
         df,
         **{
@@ -130,14 +150,14 @@ def _compute_needs(provider: str, layout: str) -> list[str]:
     return bound(kind, "service_code", "operation", "product_code", "amount")(provider, layout)
 
 
-compute_impacts = Operator("compute", _compute_needs, (C.ENERGY, C.EMBODIED, C.DEPLETION), _compute)
+compute_impacts = Operator("compute", _compute_needs, (C.ENERGY, C.EMBODIED, C.DEPLETION), _compute, _compute_lookup)
 
 
 def _serverless(df: DataFrame, run: Run) -> DataFrame:
     energy = compute.serverless_energy(
         run.col("operation"),
         run.col("usage_type"),
-        run.col("amount"),
+        run.amount(),
         run.param("memory_coefficient_kwh", compute.MEMORY_KWH),
         run.param("x86_cpu_coefficient_kwh", compute.X86_KWH),
         run.param("arm_cpu_coefficient_kwh", compute.ARM_KWH),
@@ -148,20 +168,21 @@ def _serverless(df: DataFrame, run: Run) -> DataFrame:
 serverless_energy = Operator("serverless", bound("operation", "amount", "usage_type"), (C.ENERGY,), _serverless)
 
 
+def _gpu_lookup(df: DataFrame, run: Run) -> DataFrame:
+    kind = compute.gpu_type(run.col("product_code"), run.col("operation"), raw_instance_type(run))
+    percent = run.param("gpu_utilisation_percent", compute.GPU_UTILISATION_PERCENT)
+    watts = compute.gpu_watts(F.col("idle_w"), F.col("full_w"), percent)
+    gpus = Dim(run.factors.gpu.frame.select("instance_type", watts.alias("watts"), "gpus"), run.factors.gpu.small)
+    return lookup(df, gpus, kind, "instance_type", "_gpu_")
+
+
 def _gpu(df: DataFrame, run: Run) -> DataFrame:
     """GPU energy comes on top of what the instance itself was given before."""
-    kind = compute.gpu_type(run.col("product_code"), run.col("operation"), raw_instance_type(run))
-    df = lookup(df, run.factors.gpu, run.only_usage(kind), "instance_type", "_gpu_")
-    extra = compute.gpu_energy(
-        run.col("amount"),
-        F.col("_gpu_gpus"),
-        F.col("_gpu_idle_w"),
-        F.col("_gpu_full_w"),
-        run.param("gpu_utilisation_percent", compute.GPU_UTILISATION_PERCENT),
-    )
-    if C.ENERGY in df.columns:
-        extra = extra + F.coalesce(C.ENERGY, F.lit(0.0))
-    return run.put(df, **{C.ENERGY: extra}).drop("_gpu_gpu", "_gpu_gpus", "_gpu_idle_w", "_gpu_full_w")
+    extra = compute.gpu_energy(run.amount(), F.col("_gpu_watts"), F.col("_gpu_gpus"))
+    # Written so that the energy so far appears once: it is a large expression.
+    before = F.coalesce(F.col(C.ENERGY), F.when(extra.isNotNull(), F.lit(0.0))) if C.ENERGY in df.columns else None
+    total = extra if before is None else before + F.coalesce(extra, F.lit(0.0))
+    return df.withColumn(C.ENERGY, total).drop("_gpu_watts", "_gpu_gpus")
 
 
 def _gpu_needs(provider: str, layout: str) -> list[str]:
@@ -169,32 +190,34 @@ def _gpu_needs(provider: str, layout: str) -> list[str]:
     return bound(kind, "operation", "product_code", "amount")(provider, layout)
 
 
-gpu_energy = Operator("gpu", _gpu_needs, (C.ENERGY,), _gpu)
+gpu_energy = Operator("gpu", _gpu_needs, (C.ENERGY,), _gpu, _gpu_lookup)
+
+
+def _token_lookup(df: DataFrame, run: Run) -> DataFrame:
+    label = tokens.output_label(run.col("product_code"), run.col("usage_type"))
+    df = lookup(df, run.factors.token_dim(), label, "label", "_tok_")
+    billed = F.when(F.col("_tok_kwh_per_1k").isNotNull(), tokens.thousands(run.col("unit"), run.amount()))
+    return df.withColumn("_thousands", billed)
 
 
 def _tokens(df: DataFrame, run: Run) -> DataFrame:
     """Generated text: output tokens only, replacing any energy set before."""
-    usage_type = run.col("usage_type")
-    billed = (run.col("product_code") == "AmazonBedrock") & (tokens.direction(usage_type) == "output")
-    label = run.only_usage(F.when(billed, F.lower(tokens.model_key(usage_type))))
-    df = lookup(df, run.factors.token_dim(), label, "label", "_tok_")
-    thousands = tokens.thousands(run.col("unit"), run.col("amount"))
     return run.put(
         df,
         **{
-            C.ENERGY: thousands * F.col("_tok_kwh_per_1k"),
-            C.EMBODIED: thousands * F.col("_tok_g_per_1k"),
+            C.ENERGY: F.col("_thousands") * F.col("_tok_kwh_per_1k"),
+            C.EMBODIED: F.col("_thousands") * F.col("_tok_g_per_1k"),
         },
-    ).drop("_tok_kwh_per_1k", "_tok_g_per_1k")
+    ).drop("_tok_kwh_per_1k", "_tok_g_per_1k", "_thousands")
 
 
 token_impacts = Operator(
-    "tokens", bound("product_code", "amount", "unit", "usage_type"), (C.ENERGY, C.EMBODIED), _tokens
+    "tokens", bound("product_code", "amount", "unit", "usage_type"), (C.ENERGY, C.EMBODIED), _tokens, _token_lookup
 )
 
 
 def _load(df: DataFrame, run: Run) -> DataFrame:
-    return run.put(df, **{C.CPU_LOAD: F.lit(run.param("cpu_load_percentage", 50.0))})
+    return run.put(df, **{C.CPU_LOAD: run.only_usage(F.lit(run.param("cpu_load_percentage", 50.0)))})
 
 
 constant_load = Operator("constant_load", lambda provider, layout: [], (C.CPU_LOAD,), _load)
@@ -212,8 +235,12 @@ def with_region_factors(df: DataFrame, run: Run) -> DataFrame:
     """Join the merged region table unless an earlier operator already did."""
     if "_rg_known" in df.columns:
         return df
-    key = run.only_usage(F.nullif(F.col(C.REGION), F.lit("")))
-    return lookup(df, run.factors.region_dim(run.provider), key, "region", "_rg_")
+    return lookup(df, run.factors.region_dim(run.provider), F.col(C.REGION), "region", "_rg_")
+
+
+def _region_lookup(df: DataFrame, run: Run) -> DataFrame:
+    """Ahead of all steps only if the region is known by then."""
+    return with_region_factors(df, run) if run.placed else df
 
 
 def without_region_factors(df: DataFrame) -> DataFrame:
@@ -230,10 +257,10 @@ def region_measure(run: Run, measure: str) -> Column:
 def _efficiency(df: DataFrame, run: Run) -> DataFrame:
     df = with_region_factors(df, run)
     pue = F.coalesce(region_measure(run, "pue"), F.lit(run.param("default", DEFAULT_PUE)))
-    return run.put(df, **{C.PUE: pue, C.WUE: region_measure(run, "wue")})
+    return run.put(df, **{C.PUE: run.only_usage(pue), C.WUE: region_measure(run, "wue")})
 
 
-efficiency = Operator("efficiency", lambda provider, layout: [C.REGION], (C.PUE, C.WUE), _efficiency)
+efficiency = Operator("efficiency", lambda provider, layout: [C.REGION], (C.PUE, C.WUE), _efficiency, _region_lookup)
 
 
 def _water(df: DataFrame, run: Run) -> DataFrame:
@@ -257,6 +284,7 @@ water = Operator(
     lambda provider, layout: [C.ENERGY, C.PUE, C.WUE, C.REGION],
     (C.WATER_COOLING, C.WATER_ELECTRICITY, C.WATER_STRESS),
     _water,
+    _region_lookup,
 )
 
 
@@ -266,7 +294,7 @@ def _intensity(df: DataFrame, run: Run) -> DataFrame:
 
 
 carbon_intensity = Operator(
-    "carbon_intensity", lambda provider, layout: [C.ENERGY, C.REGION], (C.INTENSITY,), _intensity
+    "carbon_intensity", lambda provider, layout: [C.ENERGY, C.REGION], (C.INTENSITY,), _intensity, _region_lookup
 )
 
 
@@ -290,7 +318,7 @@ operational_emissions = Operator(
 
 def _bridge(df: DataFrame, run: Run) -> DataFrame:
     values = bridge.aws(df) if run.provider == C.AWS else bridge.azure(df)
-    return run.put(df, **values)
+    return run.put(df, **{name: run.only_usage(value) for name, value in values.items()})
 
 
 def _bridge_needs(provider: str, layout: str) -> list[str]:

@@ -14,7 +14,7 @@ from gridtally import columns as C
 from gridtally.factors.tables import Factors
 from gridtally.functions.common import is_usage
 from gridtally.operators import enrich as ops
-from gridtally.operators.base import ContractError, Operator, Run
+from gridtally.operators.base import GATE, GATED_AMOUNT, ContractError, Operator, Run
 
 Step = tuple[Operator, Mapping[str, Any]]
 
@@ -112,11 +112,19 @@ class Plan:
         # (the bridge never does), so only true name clashes are dropped.
         base = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
         nulls = [F.lit(None).cast(kind).alias(name) for name, kind in added.items()]
-        seeded = df.select(*base, *nulls, is_usage(self.provider, self.layout).alias("_usage"))
-        run = Run(self.provider, self.layout, factors, F.col("_usage"))
+        usage = is_usage(self.provider, self.layout)
+        gate = [usage.alias(GATE)]
+        amount = C.binding(self.provider, self.layout).get("amount")
+        if amount in df.columns:
+            gate.append(F.when(usage, F.col(amount)).alias(GATED_AMOUNT))
+        seeded = df.select(*base, *nulls, *gate)
+        placed = any(op is ops.region for op, _ in self.steps)
+        run = Run(self.provider, self.layout, factors, F.col(GATE), placed)
+        for op, params in self.steps:
+            seeded = op.prepare(seeded, replace(run, params=params))
         for op, params in self.steps:
             seeded = op.apply(seeded, replace(run, params=params))
-        result = ops.without_region_factors(seeded).drop("_usage")
+        result = ops.without_region_factors(seeded)
         kept = [c for c in df.columns if c.lower() not in taken]
         return result.select(*[F.col(f"`{c}`") for c in kept], *added)
 

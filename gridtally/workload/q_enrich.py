@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,9 @@ def partial(
     return plan.apply(ROWS[provider, layout](spark, sf_dir), W.sample_factors(spark, provider))
 
 
+@lru_cache(maxsize=16)
 def enriched(spark: SparkSession, sf_dir: str, provider: str = C.AWS, layout: str = C.NATIVE) -> DataFrame:
+    """The enriched frame, planned once and read by many reports."""
     return enrich(ROWS[provider, layout](spark, sf_dir), provider, layout, W.sample_factors(spark, provider))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ IN_SCOPE = (
 )
 
 
+@lru_cache(maxsize=8)
 def cur(spark, sf_dir) -> DataFrame:
     """Enriched lines under report names."""
     return conform(enriched(spark, sf_dir))
