@@ -586,7 +586,7 @@ def _night_share(df: DataFrame, run: Run) -> DataFrame:
     return run.put(df, night_kwh=F.col(C.ENERGY) * F.lit(run.param("share", 0.25)))
 
 
-night_share = Operator("night_share", bound(extra=(C.ENERGY,)), ("night_kwh",), _night_share, {"night_kwh": "double"})
+night_share = Operator("night_share", bound(extra=(C.ENERGY,)), ("night_kwh",), _night_share, types={"night_kwh": "double"})
 
 
 @query(
