@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridtally import columns as C
 from gridtally.functions.common import exact_sum
 from gridtally.operators.base import ContractError
+from gridtally.session import written_once
 
 INTERVAL = "identity_time_interval"
 PARENT = "split_line_item_parent_resource_id"
@@ -67,7 +68,9 @@ def allocate_splits(
     Rows that are no workload pass straight through. Workloads of the largest
     groups meet their totals in a broadcast join of at most ``heavy_groups``
     rows; only the others, in groups that are all small, are shuffled by key.
-    A missing ratio, or ratios that sum to zero, give NULL.
+    A missing ratio, or ratios that sum to zero, give NULL. The group totals are
+    read three times; they are worked out once, when this is called, and written
+    to the shared folder.
     """
     for name in (INTERVAL, PARENT, RESOURCE, RATIO, *impacts):
         if name not in df.columns:
@@ -81,6 +84,7 @@ def allocate_splits(
         .where("children > 0")
         .select(*[F.col(c).alias(f"_t_{c}") for c in prefixed], F.col("children").alias("_t_children"))
     )
+    totals = written_once(totals, "split-totals")
     # The full key breaks ties, so both branches see the same heavy groups.
     heavy = totals.orderBy(
         F.desc("_t_children"), F.asc_nulls_last("_t_interval"), F.asc_nulls_last("_t_owner")

@@ -25,6 +25,7 @@ from gridtally.functions.common import (
     usage_charge,
     zero_if_null,
 )
+from gridtally.session import written_once
 
 INSTANCE_IN_METER = r":((?:[a-z][a-z0-9-]*\.)+[a-z0-9]+)$"
 TOP = 20
@@ -108,11 +109,19 @@ def summary_by_period(df: DataFrame) -> DataFrame:
 
 def with_total(summary: DataFrame, label: str = "TOTAL") -> DataFrame:
     """Add a line summing the shown values, as a reader of the table would."""
-    measures = [c for c in summary.columns if c != C.BILLING_PERIOD]
-    line = summary.agg(
-        F.lit(label).alias(C.BILLING_PERIOD), *[rounded(zero_if_null(exact_sum(F.col(m)))).alias(m) for m in measures]
+    is_total = F.grouping(C.BILLING_PERIOD) == 1
+    measures = [
+        F.when(is_total, rounded(zero_if_null(exact_sum(F.col(m))))).otherwise(F.max(m)).alias(m)
+        for m in summary.columns
+        if m != C.BILLING_PERIOD
+    ]
+    lines = summary.rollup(C.BILLING_PERIOD).agg(is_total.alias("_total"), *measures)
+    named_total = F.when(F.col("_total"), F.lit(label)).otherwise(F.col(C.BILLING_PERIOD))
+    return (
+        lines.withColumn(C.BILLING_PERIOD, named_total)
+        .orderBy("_total", F.asc_nulls_last(C.BILLING_PERIOD))
+        .drop("_total")
     )
-    return summary.unionByName(line)
 
 
 def top_services(df: DataFrame, n: int = TOP) -> DataFrame:
@@ -338,7 +347,7 @@ def tag_entries(df: DataFrame) -> DataFrame:
     """Tags as rows (key, value), from a map or from JSON text."""
     tags = tags_as_map(df)
     if tags is None:
-        return df.sparkSession.createDataFrame([], "key string, value string")
+        return df.where(F.lit(False)).select(*[F.lit(None).cast("string").alias(c) for c in ("key", "value")])
     return df.select(F.explode(tags).alias("key", "value"))
 
 
@@ -396,8 +405,10 @@ def top_with_other(rows: DataFrame, metric: str, limit: int = TAG_CHART_ROWS) ->
 
     Up to ``limit`` values are listed as they are; beyond it, one fewer and the
     line of others. Only the listed head is ranked, so nothing else passes
-    through a single task, however many values there are.
+    through a single task, however many values there are. The rows are read
+    twice, so they are worked out once and written to the shared folder.
     """
+    rows = written_once(rows, "tag-values")
     measures = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.DoubleType)]
     order = [F.desc_nulls_last(metric), F.asc_nulls_last("tag_value")]
     head = rows.orderBy(*order).limit(limit + 1)

@@ -5,14 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "gridtally", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the engine relies on.
 
     Charge periods are rendered as UTC instants, so the session time zone is
-    fixed. Shuffle partition counts are left to adaptive execution.
+    fixed. The JVM never compiles a method of more than 8,000 bytes of code; with
+    the limit set to that, Spark splits a larger stage into small methods instead
+    of having it interpreted. Shuffle partition counts are left to adaptive
+    execution.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -21,7 +24,7 @@ def build_session(app: str = "gridtally", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():
@@ -40,3 +43,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="gridtally-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/gridtally/{label}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """The rows of a frame, worked out once and read back from the shared folder.
+
+    For an aggregate that a plan reads several times: Catalyst prunes each use
+    to other columns, so their shuffles are not shared and the facts below would
+    be scanned again. A written table also survives the loss of executors.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -142,7 +142,7 @@ def write_usage(df: DataFrame, path: str) -> None:
     Enrichment keeps the input's partitioning, whose tasks hold few periods
     each, so no shuffle is spent on the write.
     """
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = df.write.mode("overwrite")
     if C.BILLING_PERIOD in df.columns:
         writer = writer.partitionBy(C.BILLING_PERIOD)
     writer.parquet(path)

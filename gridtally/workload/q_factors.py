@@ -586,7 +586,7 @@ _ENERGY = f"(1500 + jitter * 25) / 1E3 * {_pick([s[3] for s in Y.SERVICES], 'svc
       {_scaled('jitter * 25 / 1E3 * ' + _pick([s[3] for s in Y.SERVICES], 'svc'))} AS {C.WATER_COOLING},
       CASE WHEN reg IN (0, 1, 7, 8) THEN {_scaled('jitter * 2 / 1E2 * ' + _pick([s[3] for s in Y.SERVICES], 'svc'))}
         ELSE 0E0 END AS {C.WATER_STRESS},
-      {_pick([1.08 + (n % 5) * 0.04 for n in range(10)], 'reg')} AS {C.PUE},
+      {_pick(Y.PUES, 'reg')} AS {C.PUE},
       {_pick(Y.TAGS['team'][1], '(i * 5) % 6')} AS team, {_pick(Y.TAGS['cost_center'][1], '(i * 29) % 5')} AS cost_center
       FROM shaped""",
 )

@@ -193,11 +193,7 @@ def tags() -> Column:
     """Resource tags; lines without a team have no tag of that key, and some none at all."""
     env = F.when(F.col("l_partkey") % 3 == 0, "prod").when(F.col("l_partkey") % 3 == 1, "").otherwise("dev")
     both = F.create_map(F.lit("team"), team(), F.lit("env"), env)
-    return (
-        F.when(F.col("l_discount") > 0.085, F.lit(None))
-        .when(team().isNull(), F.create_map(F.lit("env"), env))
-        .otherwise(both)
-    )
+    return F.when(F.col("l_discount") <= 0.085, F.map_filter(both, lambda key, value: value.isNotNull()))
 
 
 def period() -> Column:
