@@ -14,6 +14,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtally import columns as C
 from gridtally.factors import fixed
@@ -79,11 +80,25 @@ class Dim:
         return Dim(frame, frame.limit(limit + 1).count() <= limit)
 
 
+def spread_nulls(df: DataFrame, key: Column) -> Column:
+    """A join key whose NULLs, which match nothing, do not all land in one task.
+
+    Most usage lines have no key for any one lookup. They get a blank-led key
+    from the hash of their plain columns instead.
+    """
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+    spare = F.concat(F.lit(" "), F.xxhash64(*[F.col(f"`{c}`") for c in plain]).cast("string"))
+    return F.coalesce(key, spare)
+
+
 def lookup(df: DataFrame, dim: Dim, key: Column, dim_key: str, prefix: str) -> DataFrame:
-    """Left join a lookup table; its value columns arrive with ``prefix``."""
+    """Left join a lookup table by a text key; its value columns arrive with ``prefix``."""
     renamed = dim.frame.select([F.col(c).alias(prefix + c) for c in dim.frame.columns])
-    side = F.broadcast(renamed) if dim.small else renamed
-    return df.join(side, key == F.col(prefix + dim_key), "left").drop(prefix + dim_key)
+    if dim.small:
+        joined = df.join(F.broadcast(renamed), key == F.col(prefix + dim_key), "left")
+    else:
+        joined = df.join(renamed, spread_nulls(df, key) == F.col(prefix + dim_key), "left")
+    return joined.drop(prefix + dim_key)
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

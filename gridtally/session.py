@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,16 +33,18 @@ def build_session(app: str = "gridtally", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="gridtally-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
     A machine-local folder is only made up where the cluster names none, as in
     local tests.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="gridtally-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{base.rstrip('/')}/gridtally/{label}-{uuid.uuid4().hex}"
 
 

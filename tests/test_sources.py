@@ -12,6 +12,7 @@ from gridtally.factors import build as B
 from gridtally.factors import tables as T
 from gridtally.operators.quality import gpu_model, lookup_gaps
 from gridtally.plans.pipelines import Plan
+from gridtally.session import scratch_path
 from gridtally.sources import usage as U
 from gridtally.streaming.arrivals import enrich_arrivals
 from gridtally.workload import rows as W
@@ -88,9 +89,17 @@ def test_factor_json(spark, tmp_path):
 def test_large_tables_are_not_broadcast(spark):
     big = T.Dim.checked(spark.range(50).selectExpr("cast(id as string) k", "id v"), limit=10)
     assert not big.small and T.Dim.checked(spark.range(10).selectExpr("id"), limit=10).small
-    facts = spark.range(100).selectExpr("cast(id % 60 as string) key")
+    facts = spark.range(100).selectExpr("id", "if(id < 60, cast(id as string), null) key", "map('a', id) m")
     got = T.lookup(facts, big, F.col("key"), "k", "_")
-    assert got.count() == 100 and got.where("_v IS NULL").count() == 10
+    assert got.count() == 100 and got.where("_v IS NULL").count() == 50
+    keys = facts.where("key IS NULL").select(T.spread_nulls(facts, F.col("key")))
+    assert keys.distinct().count() == 40
+
+
+def test_scratch_is_shared_where_the_cluster_names_a_folder(spark, tmp_path):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch_path(spark, "x")
+    assert path != scratch_path(spark, "x") and (not named or path.startswith(named))
 
 
 def test_gaps(spark):
