@@ -80,6 +80,19 @@ class Dim:
         return Dim(frame, frame.limit(limit + 1).count() <= limit)
 
 
+def settled(dim: Dim, limit: int = 5_000) -> Dim:
+    """A derived lookup table worked out now, if it is only some thousand rows.
+
+    Every plan then starts from its rows, not from the joins and aggregates
+    that made them.
+    """
+    rows = dim.frame.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return dim
+    schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in dim.frame.schema.fields)
+    return Dim(values_frame(dim.frame.sparkSession, [tuple(row) for row in rows], schema), True)
+
+
 def spread_nulls(df: DataFrame, key: Column) -> Column:
     """A join key whose NULLs, which match nothing, do not all land in one task.
 
@@ -211,7 +224,7 @@ class Factors:
         tried on a row whose region no table names.
         """
         if provider not in self._merged:
-            self._merged[provider] = self._region_dim(provider)
+            self._merged[provider] = settled(self._region_dim(provider))
         return self._merged[provider]
 
     def _region_dim(self, provider: str) -> Dim:
@@ -267,7 +280,7 @@ class Factors:
             frame = self.labels.frame.join(self.tokens.frame, ["provider", "model"]).select(
                 "label", "kwh_per_1k", (F.col("kg_per_1k") * F.lit(1000.0)).alias("g_per_1k")
             )
-            self._merged["tokens"] = Dim(frame, self.labels.small)
+            self._merged["tokens"] = settled(Dim(frame, self.labels.small))
         return self._merged["tokens"]
 
 
@@ -316,18 +329,18 @@ def parse_factor_lines(lines: DataFrame, kind: str) -> DataFrame:
     """Parse text lines (``value``, ``line_no``) of one factor layout."""
     names, keys, first_number, strict = CSV_LAYOUTS[kind]
     text = F.trim("value")
-    body = lines.where((text != "") & ~text.startswith("#"))
+    is_data = F.coalesce((text != "") & ~text.startswith("#"), F.lit(False))
     # Trailing empty fields do not count towards the number of fields.
     parts = F.split(F.regexp_replace("value", r",+\s*$", ""), ",")
     needed = len(names) - 1 if kind == "efficiency" else len(names)
-    got = body.select("line_no", "value", parts.alias("parts"))
     if strict:
-        ok = F.size("parts") == needed
-        got = got.withColumn(
-            "parts", F.when(ok, F.col("parts")).otherwise(F.raise_error(F.concat(F.lit("bad factor line: "), "value")))
-        )
+        # Filters may be evaluated in any order, so the test for a data line is
+        # part of the expression that can fail.
+        bad = F.raise_error(F.concat(F.lit("bad factor line: "), F.col("value")))
+        parts = F.when(is_data, F.when(F.size(parts) == needed, parts).otherwise(bad))
     else:
-        got = got.where(F.size("parts") >= needed)
+        parts = F.when(is_data & (F.size(parts) >= needed), parts)
+    got = lines.select("line_no", parts.alias("parts")).where("parts IS NOT NULL")
     fields = [F.trim(F.get("parts", F.lit(n))).alias(name) for n, name in enumerate(names)]
     frame = got.select("line_no", *fields)
     for key in keys:

@@ -341,10 +341,10 @@ def place_names(spark, sf_dir):
 
 @query(
     "sort_factor_rows",
-    O.with_(_PLACES) + "SELECT provider, region, country FROM places ORDER BY provider, region LIMIT 100",
+    O.with_(_PLACES) + "SELECT provider, region, country FROM places ORDER BY provider, region",
 )
 def sort_factor_rows(spark, sf_dir):
-    return B.sort_factors(places(spark, sf_dir).select("provider", "region", "country")).limit(100)
+    return B.sort_factors(places(spark, sf_dir).select("provider", "region", "country"))
 
 
 # --- compute and tokens ---------------------------------------------------------------------
@@ -433,11 +433,11 @@ def anti_unmapped(spark, sf_dir):
     "gpu_reconcile",
     O.with_(
         """o AS (SELECT p_partkey AS k, CASE p_partkey % 2 WHEN 0 THEN 'v100' ELSE 'a10g' END AS gpu, p_size % 8 + 1 AS gpus,
-          CAST(p_size AS DOUBLE) AS lo, p_size * 10E0 AS hi FROM part WHERE p_partkey % 3 <> 0)""",
+          CAST(p_size AS DOUBLE) AS lo, p_size * 10E0 AS hi FROM part WHERE p_size > 12)""",
         """t AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN 'a100' WHEN p_partkey % 2 = 0 THEN 'v100' ELSE 'a10g' END AS gpu,
           p_size % 8 + 1 + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS gpus, p_retailprice AS em,
-          p_retailprice * 0.25E0 AS gem FROM part WHERE p_partkey % 4 <> 0)""",
-        "b AS (SELECT p_partkey AS k, p_retailprice * 1.25E0 AS old FROM part WHERE p_partkey % 2 = 0)",
+          p_retailprice * 0.25E0 AS gem FROM part WHERE p_size < 38)""",
+        "b AS (SELECT p_partkey AS k, p_retailprice * 1.25E0 AS old FROM part WHERE p_type <> 'ECONOMY')",
     )
     + """SELECT 'i-' || CAST(k AS VARCHAR) AS instance_type,
       CASE WHEN o.gpu IS NOT NULL AND t.gpu IS NOT NULL THEN 'both' WHEN o.gpu IS NOT NULL THEN 'only_ours' ELSE 'only_theirs' END AS status,
@@ -448,7 +448,7 @@ def anti_unmapped(spark, sf_dir):
 def gpu_reconcile(spark, sf_dir):
     parts = W.table(spark, sf_dir, "part").withColumn("instance_type", text("i-", "p_partkey"))
     key = F.col("p_partkey")
-    ours = parts.where("p_partkey % 3 <> 0").select(
+    ours = parts.where("p_size > 12").select(
         "instance_type",
         choose(key, "NVIDIA_TESLA_V100", "NVIDIA_A10G").alias("gpu"),
         (F.col("p_size") % 8 + 1).alias("gpus"),
@@ -456,14 +456,14 @@ def gpu_reconcile(spark, sf_dir):
         (F.col("p_size") * F.lit(10.0)).alias("full_w"),
     )
     name = F.when(key % 10 == 0, "Tesla A100").otherwise(choose(key, "Tesla V100", "A10G"))
-    theirs = parts.where("p_partkey % 4 <> 0").select(
+    theirs = parts.where("p_size < 38").select(
         "instance_type",
         name.alias("gpu_name"),
         (F.col("p_size") % 8 + 1 + F.when(key % 5 == 0, 1).otherwise(0)).alias("gpu_units"),
         F.col("p_retailprice").alias("embodied_g"),
         (F.col("p_retailprice") * F.lit(0.25)).alias("gpu_embodied_g"),
     )
-    bundled = parts.where("p_partkey % 2 = 0").select(
+    bundled = parts.where("p_type <> 'ECONOMY'").select(
         "instance_type", (F.col("p_retailprice") * F.lit(1.25)).alias("embodied_g")
     )
     return reconcile_gpus(ours, theirs, bundled)
