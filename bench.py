@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3 timed runs after a warm one; the median counts).
+BENCH_RUNS (default 2 timed runs after a warm one; the median counts).
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def once(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
         "bench",
