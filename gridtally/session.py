@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -35,17 +38,29 @@ def build_session(app: str = "gridtally", master: str | None = None, **conf: str
 
 @cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="gridtally-")
+    path = tempfile.mkdtemp(prefix="gridtally-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
+def scratch_path(spark: SparkSession, label: str, base: str | None = None) -> str:
+    """A fresh path for intermediate tables, removed when the session's JVM ends.
 
-    A machine-local folder is only made up where the cluster names none, as in
-    local tests.
+    It lies in ``base``, or else in the shared folder named by
+    ``spark.checkpoint.dir``. With neither, a folder is only made up for a master
+    that runs in one process; any other master would spread the files over
+    machine-local disks, so that raises.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    return f"{base.rstrip('/')}/gridtally/{label}-{uuid.uuid4().hex}"
+    base = base or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
+        base = f"file://{_own_folder()}"
+    path = f"{base.rstrip('/')}/gridtally/{label}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
 
 
 def written_once(df: DataFrame, label: str) -> DataFrame:
