@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridtally.llm.jaccard import op7_jaccard_join
 from gridtally.llm.secrets import op1_secret_scan
 from gridtally.llm.sharding import op2_byte_shards
 from gridtally.llm.tables import table
@@ -24,6 +25,7 @@ def _over(name: str, operator: Callable[..., DataFrame], *more: str) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": _over("documents", op1_secret_scan),
     "op2_byte_shards": _over("documents", op2_byte_shards),
+    "op7_jaccard_join": _over("documents", op7_jaccard_join),
     "op9_section_tokens": _over("documents", op9_section_tokens),
 }
 
