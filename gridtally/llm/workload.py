@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridtally.llm.decontaminate import op10_benchmark_leaks
 from gridtally.llm.jaccard import op7_jaccard_join
+from gridtally.llm.language import op5_language_id
+from gridtally.llm.mixing import op6_mixed_sample
+from gridtally.llm.mixing import oracle as mixing_sql
 from gridtally.llm.secrets import op1_secret_scan
 from gridtally.llm.sharding import op2_byte_shards
 from gridtally.llm.tables import table
@@ -25,8 +29,11 @@ def _over(name: str, operator: Callable[..., DataFrame], *more: str) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": _over("documents", op1_secret_scan),
     "op2_byte_shards": _over("documents", op2_byte_shards),
+    "op5_language_id": _over("documents", op5_language_id),
+    "op6_mixed_sample": _over("documents", op6_mixed_sample),
     "op7_jaccard_join": _over("documents", op7_jaccard_join),
     "op9_section_tokens": _over("documents", op9_section_tokens),
+    "op10_benchmark_leaks": _over("documents", op10_benchmark_leaks, "benchmark"),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_mixed_sample": mixing_sql()}
