@@ -11,6 +11,7 @@ from gridtally.llm.jaccard import op7_jaccard_join
 from gridtally.llm.language import op5_language_id
 from gridtally.llm.mixing import op6_mixed_sample
 from gridtally.llm.mixing import oracle as mixing_sql
+from gridtally.llm.repeats import op8_repeated_bytes
 from gridtally.llm.secrets import op1_secret_scan
 from gridtally.llm.sharding import op2_byte_shards
 from gridtally.llm.tables import table
@@ -32,6 +33,7 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": _over("documents", op5_language_id),
     "op6_mixed_sample": _over("documents", op6_mixed_sample),
     "op7_jaccard_join": _over("documents", op7_jaccard_join),
+    "op8_repeated_bytes": _over("documents", op8_repeated_bytes),
     "op9_section_tokens": _over("documents", op9_section_tokens),
     "op10_benchmark_leaks": _over("documents", op10_benchmark_leaks, "benchmark"),
 }
