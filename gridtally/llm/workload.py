@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridtally.llm.decontaminate import op10_benchmark_leaks
+from gridtally.llm.embeddings import op4_near_vectors
+from gridtally.llm.html_text import op3_main_text
 from gridtally.llm.jaccard import op7_jaccard_join
 from gridtally.llm.language import op5_language_id
 from gridtally.llm.mixing import op6_mixed_sample
@@ -30,6 +32,8 @@ def _over(name: str, operator: Callable[..., DataFrame], *more: str) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": _over("documents", op1_secret_scan),
     "op2_byte_shards": _over("documents", op2_byte_shards),
+    "op3_main_text": _over("pages", op3_main_text),
+    "op4_near_vectors": _over("embeddings", op4_near_vectors),
     "op5_language_id": _over("documents", op5_language_id),
     "op6_mixed_sample": _over("documents", op6_mixed_sample),
     "op7_jaccard_join": _over("documents", op7_jaccard_join),
