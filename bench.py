@@ -32,7 +32,6 @@ HEADLINE = (
     "split_by_namespace",
     "lookup_gaps",
     "latest_per_key",
-    "synthetic_usage",
 )
 
 

@@ -73,11 +73,20 @@ class Dim:
 
     frame: DataFrame
     small: bool
+    empty: bool = False
 
     @staticmethod
-    def checked(frame: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> Dim:
-        """Size a table of unknown length; reads at most ``limit`` + 1 of its rows."""
-        return Dim(frame, frame.limit(limit + 1).count() <= limit)
+    def checked(frame: DataFrame, limit: int = MAX_BROADCAST_ROWS, key: Sequence[str] = ()) -> Dim:
+        """Size a table of unknown length; reads at most ``limit`` + 1 of its rows.
+
+        A repeated ``key`` would multiply usage rows, so it raises.
+        """
+        if key:
+            twice = frame.groupBy(*key).count().where("count > 1").drop("count").first()
+            if twice is not None:
+                raise ValueError(f"lookup key given twice: {', '.join(map(str, twice))}")
+        rows = frame.limit(limit + 1).count()
+        return Dim(frame, rows <= limit, rows == 0)
 
 
 def settled(dim: Dim, limit: int = 5_000) -> Dim:
@@ -156,7 +165,7 @@ class Factors:
         """The published fixed tables; no compute or token coefficients."""
 
         def dim(rows: list[tuple], schema: str) -> Dim:
-            return Dim(values_frame(spark, rows, schema), len(rows) <= MAX_BROADCAST_ROWS)
+            return Dim(values_frame(spark, rows, schema), len(rows) <= MAX_BROADCAST_ROWS, not rows)
 
         power = {model: (idle, full) for model, idle, full in parse_block(fixed.GPU_POWER, str, float, float)}
         gpus = [
@@ -195,11 +204,11 @@ class Factors:
 
     def with_compute(self, frame: DataFrame) -> Factors:
         """Use landed compute impacts (``COMPUTE_SCHEMA``)."""
-        return replace(self, compute=Dim.checked(frame))
+        return replace(self, compute=Dim.checked(frame, key=["instance_type"]))
 
     def with_tokens(self, frame: DataFrame) -> Factors:
         """Use landed token coefficients (``TOKEN_SCHEMA``)."""
-        return replace(self, tokens=Dim.checked(frame))
+        return replace(self, tokens=Dim.checked(frame, key=["provider", "model"]))
 
     def with_tables(self, **frames: DataFrame) -> Factors:
         """Replace other lookup tables by frames of the same columns."""

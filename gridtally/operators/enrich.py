@@ -13,7 +13,7 @@ from gridtally import columns as C
 from gridtally.factors.tables import Dim, lookup
 from gridtally.functions import bridge, compute, environment, network, storage, tokens
 from gridtally.functions.common import map_value, present
-from gridtally.operators.base import Operator, Run, bound
+from gridtally.operators.base import ContractError, Operator, Run, bound
 
 # --- region -----------------------------------------------------------------
 
@@ -127,7 +127,14 @@ def instance_type(run: Run) -> Column:
     )
 
 
+def _given(dim: Dim, step: str, method: str) -> None:
+    """A step whose table has no rows would find nothing and say nothing."""
+    if dim.empty:
+        raise ContractError(f"operator {step} needs a table of coefficients: give it by Factors.{method}")
+
+
 def _compute_lookup(df: DataFrame, run: Run) -> DataFrame:
+    _given(run.factors.compute, "compute", "with_compute")
     return lookup(df, run.factors.compute, instance_type(run), "instance_type", "_vm_")
 
 
@@ -194,6 +201,7 @@ gpu_energy = Operator("gpu", _gpu_needs, (C.ENERGY,), _gpu, _gpu_lookup)
 
 
 def _token_lookup(df: DataFrame, run: Run) -> DataFrame:
+    _given(run.factors.tokens, "tokens", "with_tokens")
     label = tokens.output_label(run.col("product_code"), run.col("usage_type"))
     df = lookup(df, run.factors.token_dim(), label, "label", "_tok_")
     billed = F.when(F.col("_tok_kwh_per_1k").isNotNull(), tokens.thousands(run.col("unit"), run.amount()))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtally import columns as C
 from gridtally.functions.common import exact_sum
@@ -65,12 +66,12 @@ def allocate_splits(
 ) -> DataFrame:
     """Add ``split_`` columns: each workload's share of its resource's impacts.
 
-    Rows that are no workload pass straight through. Workloads of the largest
-    groups meet their totals in a broadcast join of at most ``heavy_groups``
-    rows; only the others, in groups that are all small, are shuffled by key.
-    A missing ratio, or ratios that sum to zero, give NULL. The group totals are
-    read three times; they are worked out once, when this is called, and written
-    to the shared folder.
+    The usage rows are read once for the group totals and once to share them out.
+    Totals of the largest groups come by a broadcast join of at most
+    ``heavy_groups`` rows. If there are more groups, the rest come by a keyed
+    join, in which rows without a group of that kind are spread by a hash. A
+    missing ratio, or ratios that sum to zero, give NULL. The totals are worked
+    out once, when this is called, and written to the shared folder.
     """
     for name in (INTERVAL, PARENT, RESOURCE, RATIO, *impacts):
         if name not in df.columns:
@@ -85,23 +86,36 @@ def allocate_splits(
         .select(*[F.col(c).alias(f"_t_{c}") for c in prefixed], F.col("children").alias("_t_children"))
     )
     totals = written_once(totals, "split-totals")
-    # The full key breaks ties, so both branches see the same heavy groups.
-    heavy = totals.orderBy(
-        F.desc("_t_children"), F.asc_nulls_last("_t_interval"), F.asc_nulls_last("_t_owner")
-    ).limit(heavy_groups)
+    more = totals.limit(heavy_groups + 1).count() > heavy_groups
+    # The full key breaks ties.
+    order = (F.desc("_t_children"), F.asc_nulls_last("_t_interval"), F.asc_nulls_last("_t_owner"))
+    heavy = totals.orderBy(*order).limit(heavy_groups) if more else totals
 
-    children = base.where(~is_parent())
     same_group = F.col(INTERVAL).eqNullSafe(F.col("_t_interval")) & F.col(PARENT).eqNullSafe(F.col("_t_owner"))
-    in_heavy = children.join(F.broadcast(heavy), same_group, "inner")
-    in_light = children.join(F.broadcast(heavy), same_group, "left_anti").join(totals, same_group, "inner")
+    joined = base.join(F.broadcast(heavy), ~is_parent() & same_group, "left")
+    value = {c: F.col(f"_t_{c}") for c in ("ratio", *impacts)}
+    if more:
+        light = totals.select(
+            *[F.col(c).alias(c.replace("_t_", "_l_")) for c in totals.columns if c != "_t_children"],
+        )
+        found = F.col("_t_children").isNotNull()
+        # Rows that need no partner get a key of their own, so that none of them meet in one task.
+        plain = [f"`{f.name}`" for f in base.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+        spare = F.concat(F.lit(" "), F.xxhash64(*plain).cast("string"))
+        alone = is_parent() | found
+        keyed = joined.withColumn("_l_spare", F.when(alone, spare))
+        joined = keyed.join(
+            light.withColumn("_l_none", F.lit(None).cast("string")),
+            F.col(INTERVAL).eqNullSafe(F.col("_l_interval"))
+            & F.col(PARENT).eqNullSafe(F.col("_l_owner"))
+            & F.col("_l_spare").eqNullSafe(F.col("_l_none")),
+            "left",
+        )
+        value = {c: F.coalesce(F.col(f"_t_{c}"), F.col(f"_l_{c}")) for c in value}
 
-    weight = F.try_divide(number(RATIO), F.col("_t_ratio"))
-    sum_of_all = F.col("_t_ratio")
+    weight = F.try_divide(number(RATIO), value["ratio"])
+    sum_of_all = value["ratio"]
     for name in impacts:
-        sum_of_all = sum_of_all + F.col(f"_t_{name}")
-    shares = [F.when(sum_of_all > 0, F.col(f"_t_{n}") * weight).alias(PREFIX + n) for n in impacts]
-    keep = [F.col(f"`{c}`") for c in base.columns]
-    nulls = [F.lit(None).cast("double").alias(a) for a in added]
-
-    parents = base.where(is_parent()).select(*keep, *nulls)
-    return parents.unionByName(in_heavy.select(*keep, *shares)).unionByName(in_light.select(*keep, *shares))
+        sum_of_all = sum_of_all + value[name]
+    shares = [F.when(sum_of_all > 0, value[n] * weight).alias(PREFIX + n) for n in impacts]
+    return joined.select(*[F.col(f"`{c}`") for c in base.columns], *shares)

@@ -461,8 +461,8 @@ def breakdown(df: DataFrame, keys: Sequence[str], floor_g: float = 0.01) -> Data
 def split_by_tag(df: DataFrame, key: str, tags: str = "resource_tags") -> DataFrame:
     """Shared emissions by value of a resource tag, such as a namespace."""
     return (
-        df.select(F.explode(tags).alias("key", "value"), "split_" + C.OPERATIONAL)
-        .where(F.col("key") == key)
+        df.select(F.lit(key).alias("key"), F.col(tags)[key].alias("value"), "split_" + C.OPERATIONAL, tags)
+        .where(F.array_contains(F.map_keys(tags), key))
         .groupBy("key", "value")
         .agg(exact_sum(F.col("split_" + C.OPERATIONAL)).alias("total_g"))
         .orderBy(F.desc_nulls_last("total_g"), F.asc_nulls_last("value"))

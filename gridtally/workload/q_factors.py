@@ -15,7 +15,6 @@ from gridtally.factors import fixed
 from gridtally.factors.tables import parse_block, parse_factor_lines
 from gridtally.functions.storage import gb_month_hours
 from gridtally.operators.quality import keys_in_both, keys_only_left, reconcile_gpus, unmatched
-from gridtally.plans import synthetic as Y
 from gridtally.workload import oracle as O
 from gridtally.workload import rows as W
 from gridtally.workload.registry import query
@@ -540,64 +539,7 @@ def load_factor_csv(spark, sf_dir):
     return parse_factor_lines(lines, "intensity")
 
 
-# --- synthetic rows and conversions ------------------------------------------------------------------
-
-
-def _pick(values: list, index: str) -> str:
-    return f"([{', '.join(O.lit(v) for v in values)}])[1 + {index}]"
-
-
-def _scaled(value: str) -> str:
-    return O.r2(f"({value}) * growth * smooth")
-
-
-def _modelled(value: str) -> str:
-    return f"CASE WHEN i % 23 <> 0 AND i % 97 <> 0 AND i % 89 <> 0 THEN {_scaled(value)} END"
-
-
-_OPERATION = " ".join(f"WHEN {n} THEN {_pick(s[2], f'(i % {len(s[2])})')}" for n, s in enumerate(Y.SERVICES))
-_ENERGY = f"(1500 + jitter * 25) / 1E3 * {_pick([s[3] for s in Y.SERVICES], 'svc')}"
-
-
-@query(
-    "synthetic_usage",
-    O.with_(
-        """n AS (SELECT count(*) AS n FROM orders)""",
-        f"""base AS (SELECT o_orderkey AS i, o_orderkey % {len(Y.SERVICES)} AS svc, (o_orderkey * 7) % {len(Y.REGIONS)} AS reg,
-          (o_orderkey * 11) % {len(Y.INSTANCE_TYPES)} AS inst, (o_orderkey * 13) % {len(Y.ACCOUNTS)} AS acct,
-          (o_orderkey * 23) % 100 AS jitter, o_orderkey * 12 // n AS month FROM orders, n)""",
-        f"""shaped AS (SELECT *, {_pick(Y.month_factors(12), 'month')} AS growth, 0.88E0 + jitter / 100E0 * 0.24E0 AS smooth
-          FROM base)""",
-    )
-    + f"""SELECT {_pick(Y.month_names(12), 'month')} AS "BILLING_PERIOD",
-      CASE WHEN i % 19 <> 0 THEN {_pick([r[0] for r in Y.REGIONS], 'reg')} END AS region,
-      {_pick([s[0] for s in Y.SERVICES], 'svc')} AS line_item_product_code,
-      {_pick([s[1] for s in Y.SERVICES], 'svc')} AS product_servicecode,
-      CASE svc {_OPERATION} END AS line_item_operation,
-      CASE WHEN svc IN (0, 3, 9) THEN {_pick(Y.INSTANCE_TYPES, 'inst')} END AS product_instance_type,
-      CASE WHEN svc IN (0, 3, 9) THEN substr({_pick(Y.INSTANCE_TYPES, 'inst')}, 1, 1) END AS product_instance_family,
-      {_pick([a[1] for a in Y.ACCOUNTS], 'acct')} AS line_item_usage_account_name,
-      CASE WHEN i % 97 = 0 THEN 'Tax' WHEN i % 89 = 0 THEN 'Credit' ELSE 'Usage' END AS line_item_line_item_type,
-      {_scaled('(20 + jitter * 5 + (svc + 1) * 170) / 1E2')} AS line_item_unblended_cost,
-      {_scaled('(40 + jitter * 6 + (svc + 1) * 185) / 1E2')} AS pricing_public_on_demand_cost,
-      {_modelled(_ENERGY)} AS {C.ENERGY},
-      {_modelled(_ENERGY + ' * ' + _pick([r[1] for r in Y.REGIONS], 'reg'))} AS {C.OPERATIONAL},
-      {_modelled('(400 + jitter * 4) / 1E1 * ' + _pick([s[4] for s in Y.SERVICES], 'svc'))} AS {C.EMBODIED},
-      {_scaled('jitter * 25 / 1E3 * ' + _pick([s[3] for s in Y.SERVICES], 'svc'))} AS {C.WATER_COOLING},
-      CASE WHEN reg IN (0, 1, 7, 8) THEN {_scaled('jitter * 2 / 1E2 * ' + _pick([s[3] for s in Y.SERVICES], 'svc'))}
-        ELSE 0E0 END AS {C.WATER_STRESS},
-      {_pick(Y.PUES, 'reg')} AS {C.PUE},
-      {_pick(Y.TAGS['team'][1], '(i * 5) % 6')} AS team, {_pick(Y.TAGS['cost_center'][1], '(i * 29) % 5')} AS cost_center
-      FROM shaped""",
-)
-def synthetic_usage(spark, sf_dir):
-    """Row numbers are order numbers, so there are as many rows as orders."""
-    orders = W.table(spark, sf_dir, "orders")
-    rows = Y.synthesize(orders, orders.count(), 12, "o_orderkey")
-    tags = F.col("resource_tags")
-    return rows.select(
-        "*", tags["team"].alias("team"), tags["cost_center"].alias("cost_center")
-    ).drop("resource_tags", "product_region_code", "line_item_usage_account_id", C.WATER_ELECTRICITY, C.INTENSITY)
+# --- conversions ------------------------------------------------------------------------------------
 
 
 @query(

@@ -15,7 +15,7 @@ from gridtally.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests",
-        "local[8]",
+        "local[4]",
         **{
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "8",
