@@ -35,7 +35,7 @@ from gridtally.llm.tables import mapped, texts_of
 from gridtally.llm.words import Words, kinds, slices, words
 
 UNKNOWN = "und"
-PER_LANGUAGE = 120
+PER_LANGUAGE = 60
 LONGEST = 20_000
 BITS = 16
 STEPS = 20
@@ -68,8 +68,8 @@ def features(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         centre + codes[at + 2] * _K[5],
         np.where(before > 0, codes[at - 2], 0).astype(np.uint64) * _K[6] + centre,
     )
-    out = np.stack([(x * _K[7]) >> _DOWN for x in (centre, pair + _K[0], four + _K[1])], axis=1).astype(np.int64)
-    out += np.array([0, 1, 2]) << BITS
+    out = np.stack([(x * _K[7]) >> _DOWN for x in (centre, pair + _K[0], four + _K[1])], axis=1).astype(np.int32)
+    out += np.array([0, 1, 2], np.int32) << BITS
     begin = np.zeros(len(found.start), np.int64)
     np.cumsum((found.end - found.start)[:-1], out=begin[1:])
     return out, begin, (found.digest >> _DOWN).astype(np.int64) + (3 << BITS)
