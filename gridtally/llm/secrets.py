@@ -66,7 +66,7 @@ class Model:
     ratio: np.ndarray
     shortest: int = 16
     odds: float = 1e6
-    per_symbol: float = 0.7
+    per_symbol: float = 0.5
 
     def score(self, symbols: np.ndarray) -> float:
         return float(self.ratio[symbols[:-1], symbols[1:]].sum())
