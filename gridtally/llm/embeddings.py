@@ -16,8 +16,9 @@ most r = sqrt(2 - 2t). Equal vectors are one class.
 4. What stays gets its cosine in double precision. Links are counted for the
    query; a spanning forest of the links leaves the task, not the pairs.
 
-Long lists and many queries of one list are cut into blocks, each pair of which
-is a group of its own.
+Neighbouring lists lie in one section, so that a query is sent once to a section
+and not to each list that it probes there. Sections of many members or queries are
+cut into blocks, each pair of which is a group of its own.
 
 Nulls: vectors that are null, zero, of another dimension than most, or that hold
 null or non-finite components link with nothing; so do rows with a null vec_id,
@@ -49,15 +50,18 @@ LIST_LENGTH = 128
 MOST_LISTS = 1024
 SUBSPACES = 8
 CODES = 256
-#: List members and queries of one block.
-MEMBERS = 1024
-QUERIES = 1024
+#: Lists of one section, about.
+SECTION = 32
+#: Members and queries of one block.
+MEMBERS = 4096
+QUERIES = 8192
 #: Distances are compared with this slack; cosines are not.
 SLACK = 1e-6
 
 
 class Index(NamedTuple):
     centroids: np.ndarray  # lists by dimension
+    section: np.ndarray  # list -> section
     books: np.ndarray  # subspaces by codes by width
     width: int
 
@@ -85,7 +89,8 @@ def fit(points: np.ndarray, lists: int) -> Index:
     width = -(-points.shape[1] // SUBSPACES)
     padded = np.pad(residual, ((0, 0), (0, width * SUBSPACES - points.shape[1])))
     books = [_means(part, min(CODES, len(points))) for part in np.split(padded, SUBSPACES, axis=1)]
-    return Index(centroids, np.stack(books), width)
+    middles = _means(centroids, -(-len(centroids) // SECTION))
+    return Index(centroids, _squares(centroids, middles).argmin(axis=1), np.stack(books), width)
 
 
 def _parts(index: Index, x: np.ndarray) -> list[np.ndarray]:
@@ -123,6 +128,20 @@ def _close(index: Index, home: int, queries: np.ndarray, codes: np.ndarray, erro
     return total <= (radius + error + 1e-4) ** 2
 
 
+def _linked(unit: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Those of the pairs whose exact cosine reaches the threshold."""
+    parts = [np.zeros(0)]
+    for k in range(0, len(i), 20_000):
+        parts.append(np.einsum("ij,ij->i", unit[i[k : k + 20_000]], unit[j[k : k + 20_000]]))
+    linked = np.concatenate(parts) >= threshold
+    return np.stack((i[linked], j[linked]))
+
+
+def _by_section(index: Index, lists: np.ndarray) -> list[dict]:
+    section = index.section[lists]
+    return [{"section": int(s), "lists": lists[section == s].tolist()} for s in np.unique(section)]
+
+
 def classes_of(vectors: DataFrame) -> DataFrame:
     """(embedding, rep, n) of equal valid vectors, and the key's class, through one vector for each key."""
     good = (
@@ -138,18 +157,17 @@ def classes_of(vectors: DataFrame) -> DataFrame:
     return written_once(chosen, "vectors")
 
 
-def _blocks(rows: DataFrame, sizes: dict[int, int], others: dict[int, int], block: int, other: int, names: tuple[str, str]):
-    """Rows of lists in blocks of their own, once for each block of the other side."""
-    spark = rows.sparkSession
+def _blocks(
+    rows: DataFrame, sizes: dict[int, int], others: dict[int, int], block: int, other: int, own: str, far: str
+) -> DataFrame:
+    """Rows of sections in blocks of their own, once for each block of the other side."""
     counts = [
-        (k, max(1, math.ceil(sizes.get(k, 0) / block)), max(1, math.ceil(others.get(k, 0) / other)))
-        for k in sorted(set(sizes) & set(others))
+        (k, max(1, math.ceil(sizes[k] / block)), max(1, math.ceil(others[k] / other))) for k in sizes.keys() & others.keys()
     ]
-    # One row for each list, of which there are at most MOST_LISTS.
-    table = F.broadcast(spark.createDataFrame(counts, "list int, mine int, theirs int"))
-    own, far = names
+    # One row for each section, of which there are fewer than MOST_LISTS.
+    table = F.broadcast(rows.sparkSession.createDataFrame(sorted(counts), "section int, mine int, theirs int"))
     return (
-        rows.join(table, "list")
+        rows.join(table, "section")
         .withColumn(own, F.pmod(F.xxhash64("rep"), F.col("mine")).cast("int"))
         .withColumn(far, F.explode(F.sequence(F.lit(0), F.col("theirs") - 1)))
         .drop("mine", "theirs")
@@ -177,27 +195,31 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             "n": batch.column("n"),
             "unit": batch.column("unit"),
             "list": home.astype(np.int32),
+            "section": index.section[home].astype(np.int32),
             "codes": [row.tobytes() for row in codes],
             "error": error,
-            "probes": [np.flatnonzero(row).astype(np.int32) for row in wanted],
+            "probes": [_by_section(index, np.flatnonzero(row)) for row in wanted],
         }
 
-    schema = "rep long, n long, unit binary, list int, codes binary, error double, probes array<int>"
+    schema = (
+        "rep long, n long, unit binary, list int, section int, codes binary, error double, "
+        "probes array<struct<section:int,lists:array<int>>>"
+    )
     placed = written_once(mapped(classes.select("rep", "n", "unit"), place, schema), "index")
-    asked = placed.select("rep", "n", "unit", F.explode("probes").alias("list"))
+    asked = placed.select("rep", "n", "unit", F.inline("probes"))
     # At most MOST_LISTS counts each.
-    member_counts = {row.list: row["count"] for row in placed.groupBy("list").count().collect()}
-    query_counts = {row.list: row["count"] for row in asked.groupBy("list").count().collect()}
-    empty = [F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error")]
+    member_counts = {row.section: row["count"] for row in placed.groupBy("section").count().collect()}
+    query_counts = {row.section: row["count"] for row in asked.groupBy("section").count().collect()}
     members = _blocks(
-        placed.select("list", "rep", "n", "unit", "codes", "error"),
-        member_counts, query_counts, MEMBERS, QUERIES, ("member_block", "query_block"),
+        placed.select("section", "rep", "n", "unit", "list", "codes", "error", F.lit(None).cast("array<int>").alias("lists")),
+        member_counts, query_counts, MEMBERS, QUERIES, "member_block", "query_block",
     )
+    empty = {"list": "int", "codes": "binary", "error": "double"}
     queries = _blocks(
-        asked.select("list", "rep", "n", "unit", *empty),
-        query_counts, member_counts, QUERIES, MEMBERS, ("query_block", "member_block"),
+        asked.select("section", "rep", "n", "unit", "lists", *(F.lit(None).cast(t).alias(c) for c, t in empty.items())),
+        query_counts, member_counts, QUERIES, MEMBERS, "query_block", "member_block",
     )
-    keys = ["list", "member_block", "query_block"]
+    keys = ["section", "member_block", "query_block"]
     together = members.unionByName(queries).repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches: Batches) -> Batches:
@@ -210,20 +232,19 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             rep, n, unit = group.column("rep").to_numpy(), group.column("n").to_numpy(), _matrix(group.column("unit"))
             codes = np.stack([np.frombuffer(group.column("codes")[i].as_py(), np.uint8) for i in member.tolist()])
             error = group.column("error").to_numpy()[member]
-            home = group.column("list")[0].as_py()
-            i, j = np.nonzero(_close(sent.value, home, unit[query], codes, error, radius))
-            i, j = query[i], member[j]
-            other = rep[i] != rep[j]
-            i, j = i[other], j[other]
-            cosine = np.concatenate(
-                [np.zeros(0)]
-                + [
-                    np.einsum("ij,ij->i", unit[i[k : k + 20_000]], unit[j[k : k + 20_000]])
-                    for k in range(0, len(i), 20_000)
-                ]
-            )
-            linked = cosine >= threshold
-            i, j = i[linked], j[linked]
+            home = group.column("list").to_numpy(zero_copy_only=False)[member].astype(np.int64)
+            asked_lists = group.column("lists").to_pylist()
+            wanted = np.concatenate([np.asarray(asked_lists[q], np.int64) for q in query.tolist()])
+            asker = np.repeat(query, [len(asked_lists[q]) for q in query.tolist()])
+            pairs = [np.zeros((2, 0), np.int64)]
+            for at in np.unique(home).tolist():
+                mine, theirs = np.flatnonzero(home == at), asker[wanted == at]
+                if len(theirs):
+                    i, j = np.nonzero(_close(sent.value, at, unit[theirs], codes[mine], error[mine], radius))
+                    i, j = theirs[i], member[mine[j]]
+                    other = rep[i] != rep[j]
+                    pairs.append(_linked(unit, i[other], j[other], threshold))
+            i, j = np.concatenate(pairs, axis=1)
             if not len(i):
                 continue
             count = np.bincount(i, n[j], len(rep)).astype(np.int64)
@@ -238,7 +259,8 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 names=["a", "b", "links"],
             )
 
-    return together.select(*keys, "rep", "n", "unit", "codes", "error").mapInArrow(run, "a long, b long, links long")
+    columns = (*keys, "rep", "n", "unit", "list", "codes", "error", "lists")
+    return together.select(*columns).mapInArrow(run, "a long, b long, links long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
