@@ -132,8 +132,8 @@ def anchors(ids: Identifiers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return anchor[first], starts[first], starts[last]
 
 
-#: Contexts of one bucket up to which they are compared in one task.
-TOGETHER = 512
+#: Contexts of one bucket up to which they are compared in one task (about 100 MB).
+TOGETHER = 4096
 #: Bytes of contexts that are worked through together.
 CHUNK = 2_000_000
 
