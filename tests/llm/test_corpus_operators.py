@@ -19,12 +19,17 @@ from gridtally.llm.embeddings import near_duplicates
 from gridtally.llm.jaccard import similar
 from gridtally.llm.words import words
 
+SYLLABLES = "ta re mi so lan dor vek hun pil".split()
+ENDINGS = "a e i o u ast ent".split()
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard string, kept int, tokens double"
 
 
-def made(n: int, seed: int, size: int = 400) -> str:
+def made(n: int, seed: int) -> str:
+    """Words of two or three syllables in one."""
     chooser = random.Random(seed)
-    return " ".join(chooser.choice("ta re mi so lan dor vek hun pil") + chooser.choice("a e i o u ast ent") for _ in range(n))
+    return " ".join(
+        "".join(chooser.choice(SYLLABLES) for _ in range(chooser.randint(1, 2))) + chooser.choice(ENDINGS) for _ in range(n)
+    )
 
 
 BASE = made(300, 1)
@@ -72,17 +77,18 @@ def test_empty_tables(spark, nothing):
 
 
 def test_secrets(spark):
-    key = "".join(random.Random(5).choice("ABCDEFGHabcdefghijkl0123456789+/xyzXYZ") for _ in range(44))
+    chooser = random.Random(5)
+    key = "".join(chooser.choice("ABCDEFGHabcdefghijkl0123456789+/xyzXYZ") for _ in range(44))
     texts = [
         'PassWord = "hunter22" and token: abc', "secret=token:abcdefgh ſecret=abcdefgh", "AKIA" + "Q7" * 8 + " AKIAQ7", "f" * 24 + "g" + "0" * 23,
-        None, "", f"here {key} ends", "an_ordinary_identifier_of_a_program " * 300 + "anotherQuiteLongCamelCaseName", "api_key:" + "d" * 30,
+        None, "", f"here {key} ends", "an_ordinary_identifier_of_a_program " * 300 + "tareaMisoentLandoraVekastHunpilo", "api_key:" + "d" * 30,
     ]
     # Samples to learn from: values that a pattern finds, and ordinary names.
-    chooser = random.Random(6)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     values = ["token: " + "".join(chooser.choice(letters) for _ in range(40)) for _ in range(300)]
     names = [chooser.choice(letters[:26]) + w + str(n % 10) * (n % 3) for n, w in enumerate(made(30_000, 9).split())]
-    texts += [" ".join(values), " ".join(names), "_".join(names[:9000])]
+    humps = [a + b.title() + c.title() for a, b, c in zip(*[iter(made(9000, 12).split())] * 3)]
+    texts += [" ".join(values), " ".join(names), "_".join(names[:9000]) + " " + " ".join(humps)]
     rows = secrets.op1_secret_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     got = {r.doc_id: r for r in rows}
     assign = r"""((?i:password|passwd|secret|token)|(?i:api)_?(?i:key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -206,7 +212,7 @@ def shingle_set(text):
 
 
 def test_jaccard(spark, docs):
-    many = [(100 + i, BASE.replace("tae", f"tae{i}", 1)) for i in range(300)]
+    many = [(100 + i, BASE.replace(" ", f" x{i} ", 1)) for i in range(300)]
     frame = docs.select("doc_id", "text", "kept").unionByName(spark.createDataFrame(many, "doc_id long, text string"), allowMissingColumns=True)
     given = TEXTS + many
     sets = [shingle_set(t) if i is not None else frozenset() for i, t in given]
