@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.factors import fixed
-from gridtally.factors.tables import parse_block, values_frame
+from gridtally.factors.tables import Dim, lookup, parse_block, values_frame
 from gridtally.functions.common import blank_to_null, present, rounded
 
 # Unit conversions and markers of the public datasets.
@@ -143,9 +143,8 @@ def factor_carbon_intensity(regions: DataFrame, countries: DataFrame, subdivisio
         recode(F.col("key"), COUNTRY_SPELLING).alias("_country"), F.col("value").alias("_national")
     )
     local = subdivisions.select(F.col("key").alias("_code"), F.col("value").alias("_local"))
-    joined = regions.join(local, code == F.col("_code"), "left").join(
-        national, F.col("country") == F.col("_country"), "left"
-    )
+    joined = lookup(regions, Dim.checked(local), code, "_code", "")
+    joined = lookup(joined, Dim.checked(national), F.col("country"), "_country", "")
     value = F.coalesce("_local", "_national")
     return joined.select("provider", "region", value.alias("intensity")).where("intensity IS NOT NULL")
 
@@ -177,9 +176,8 @@ def factor_wcf(regions: DataFrame, subregions: DataFrame, countries: DataFrame)
         F.when(domestic, grid_subregion(F.col("state"), F.col("latitude"), F.col("grid"))).alias("grid"),
         F.when(~domestic, F.lower(recode(F.col("country"), WATER_COUNTRY_SPELLING))).alias("nation"),
     )
-    joined = placed.join(grids, F.col("grid") == F.col("_grid"), "left").join(
-        nations, F.col("nation") == F.col("_country"), "left"
-    )
+    joined = lookup(placed, Dim.checked(grids), F.col("grid"), "_grid", "")
+    joined = lookup(joined, Dim.checked(nations), F.col("nation"), "_country", "")
     wcf = F.coalesce("_grid_wcf", "_country_wcf")
     return sort_factors(
         joined.select("provider", "region", rounded(wcf, 6).alias("wcf")).where("wcf IS NOT NULL")
@@ -219,9 +217,11 @@ def factor_water_stress(regions: DataFrame, provinces: DataFrame, countries: Dat
     def baseline(df: DataFrame) -> DataFrame:
         return df.where((F.col("indicator") == "bws") & (F.col("weight") == "Tot") & F.col("category").isNotNull())
 
+    def within(country: Column, name: Column) -> Column:
+        return F.concat(country, F.lit("\n"), name)
+
     local = baseline(provinces).select(
-        place_name(F.col("country")).alias("_pc"),
-        place_name(F.col("name")).alias("_pn"),
+        within(place_name(F.col("country")), place_name(F.col("name"))).alias("_province"),
         F.col("category").alias("_local"),
     )
     national = baseline(countries).select(
@@ -233,9 +233,8 @@ def factor_water_stress(regions: DataFrame, provinces: DataFrame, countries: Dat
         place_name(F.col("country")).alias("_country"),
         place_name(without_admin_ending(blank_to_null(F.col("state")))).alias("_state"),
     )
-    joined = placed.join(
-        local, (F.col("_country") == F.col("_pc")) & (F.col("_state") == F.col("_pn")), "left"
-    ).join(national, F.col("_country") == F.col("_cn"), "left")
+    joined = lookup(placed, Dim.checked(local), within(F.col("_country"), F.col("_state")), "_province", "")
+    joined = lookup(joined, Dim.checked(national), F.col("_country"), "_cn", "")
     category = F.coalesce("_local", "_national")
     known = joined.select("provider", "region", F.nullif(category, F.lit(NO_DATA)).cast("int").alias("stress"))
     return sort_factors(known.where("stress IS NOT NULL"))

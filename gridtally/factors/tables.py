@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -289,7 +290,7 @@ class Factors:
             frame = self.labels.frame.join(self.tokens.frame, ["provider", "model"]).select(
                 "label", "kwh_per_1k", (F.col("kg_per_1k") * F.lit(1000.0)).alias("g_per_1k")
             )
-            self._merged["tokens"] = settled(Dim(frame, self.labels.small))
+            self._merged["tokens"] = settled(Dim(frame, self.labels.small and self.tokens.small))
         return self._merged["tokens"]
 
 
@@ -326,16 +327,24 @@ def load_factor_csv(spark: SparkSession, paths: str | Iterable[str], kind: str)
 
     Lines with too few fields are skipped, or fail the job where the layout is
     strict. The header drops out because its measures are not numbers. When a
-    key repeats, its last line wins.
+    key repeats, its last line wins: paths count in the order given, files of one
+    path by name, whatever their sizes.
     """
-    lines = spark.read.text(list(paths) if not isinstance(paths, str) else paths).withColumn(
-        "line_no", F.monotonically_increasing_id()
-    )
-    return parse_factor_lines(lines, kind)
+    parts = []
+    for n, path in enumerate([paths] if isinstance(paths, str) else paths):
+        # Within one block of a file the row number grows; between blocks it need not.
+        number = F.monotonically_increasing_id()
+        place = [F.lpad(x.cast("string"), 20, "0") for x in (F.lit(n), F.col("_metadata.file_block_start"), number)]
+        order = F.concat(place[0], F.col("_metadata.file_path"), F.lit("\n"), place[1], place[2])
+        parts.append(spark.read.text(path).select("value", order.alias("line_no")))
+    return parse_factor_lines(reduce(DataFrame.unionByName, parts), kind)
 
 
 def parse_factor_lines(lines: DataFrame, kind: str) -> DataFrame:
-    """Parse text lines (``value``, ``line_no``) of one factor layout."""
+    """Parse text lines (``value``, ``line_no``) of one factor layout.
+
+    ``line_no`` is anything that sorts in the order of the lines.
+    """
     names, keys, first_number, strict = CSV_LAYOUTS[kind]
     text = F.trim("value")
     is_data = F.coalesce((text != "") & ~text.startswith("#"), F.lit(False))
@@ -366,7 +375,7 @@ def parse_factor_lines(lines: DataFrame, kind: str) -> DataFrame:
         frame = frame.withColumns({m: F.col(m).try_cast(number) for m in numbers}).dropna(subset=list(numbers))
     last = last_per_key(frame, keys, "line_no")
     if kind == "efficiency":
-        return last.select(F.col("line_no").cast("bigint").alias("ordinal"), "region", "pue", "wue")
+        return last.select(F.col("line_no").alias("ordinal"), "region", "pue", "wue")
     return last.drop("line_no")
 
 

@@ -68,16 +68,20 @@ COPY_RULES = {
 def copies(service: Column, usage_type: Column) -> Column:
     """How many times AWS keeps a stored byte; the first rule that applies.
 
-    The rules are data to one small lambda. As a chain of conditions they would
-    make up most of the generated code of a plan, and push it past the size
-    that the JVM compiles.
+    The rules are a constant map from service to its list, and only the places of
+    the longest list are tried. As a chain of conditions over all services they
+    would make up most of the generated code of a plan, and push it past the size
+    that the JVM compiles; a lambda would leave generated code.
     """
     entries = []
     for name, rules in COPY_RULES.items():
         pairs = [F.struct(F.lit(text).alias("text"), F.lit(COPIES[factor]).alias("copies")) for text, factor in rules]
         entries += [F.lit(name), F.array(*pairs)]
-    fits = F.filter(F.create_map(*entries)[service], lambda rule: usage_type.contains(rule["text"]))
-    return F.coalesce(F.get(fits, F.lit(0))["copies"], F.lit(COPIES["DEFAULT"]))
+    rules, chain = F.create_map(*entries)[service], F
+    for place in range(max(map(len, COPY_RULES.values()))):
+        rule = F.get(rules, F.lit(place))
+        chain = chain.when(usage_type.contains(rule["text"]), rule["copies"])
+    return chain.otherwise(F.lit(COPIES["DEFAULT"]))
 
 
 def per_gb_hour(wh_per_tb_hour: float) -> Column:

@@ -11,6 +11,7 @@ from gridtally import columns as C
 from gridtally.factors import fixed
 from gridtally.factors.tables import parse_block, values_frame
 from gridtally.functions.common import rounded
+from gridtally.session import written_once
 
 FLAVORS = ("Everyday", "Tech", "Nature")
 
@@ -71,6 +72,7 @@ def recommend_coverage(coverage: DataFrame, uncovered: DataFrame) -> DataFrame:
 def recommend_region(regions: DataFrame) -> DataFrame:
     """Up to two carbon-heavy regions against the cleanest one in use."""
     placed = regions.where("carbon_intensity IS NOT NULL").select(C.REGION, "carbon_intensity")
+    placed = written_once(placed, "regions")
     best = placed.agg(
         F.struct(
             F.min(F.struct("carbon_intensity", C.REGION)).alias("low"), F.count(F.lit(1)).alias("n")

@@ -335,6 +335,7 @@ def regions_weighted(df: DataFrame) -> DataFrame:
 
 def region_share(regions: DataFrame) -> DataFrame:
     """Each region's percentage of all emissions, from :func:`regions_weighted`."""
+    regions = written_once(regions, "regions")
     everything = regions.agg(exact_sum(F.col("total_emissions_kg")).alias("kg"))
     share = F.try_divide(F.col("total_emissions_kg") * F.lit(100.0), everything.scalar())
     return regions.select(C.REGION, "total_emissions_kg", rounded(share).alias("share_pct"))
@@ -356,12 +357,21 @@ def tag_keys(df: DataFrame) -> DataFrame:
 
 
 def tag_coverage(df: DataFrame, n: int = 10) -> DataFrame:
-    """Percentage of lines with a value per tag key, in one pass over the tags."""
-    counts = tag_entries(df).where(present(F.col("key")) & present(F.col("value"))).groupBy("key").count()
-    lines = df.agg(F.count(F.lit(1)).cast("double")).scalar()
+    """Percentage of lines with a value per tag key, in one pass over the lines.
+
+    Each line also gives one entry without a key, whose count is that of the lines.
+    The counts are read twice, so they are worked out once.
+    """
+    tags = tags_as_map(df)
+    marker = F.array(F.struct(*[F.lit(None).cast("string").alias(name) for name in ("key", "value")]))
+    entries = marker if tags is None else F.coalesce(F.concat(marker, F.map_entries(tags)), marker)
+    counted = F.col("key").isNull() | (present(F.col("key")) & present(F.col("value")))
+    counts = written_once(df.select(F.inline(entries)).where(counted).groupBy("key").count(), "tag-counts")
+    lines = counts.where("key IS NULL").select(F.col("count").cast("double")).scalar()
     pct = rounded(F.try_divide(F.col("count").cast("double") * F.lit(100.0), lines), 1)
     return (
-        counts.select(F.col("key").alias("tag_key"), pct.alias("coverage_pct"))
+        counts.where("key IS NOT NULL")
+        .select(F.col("key").alias("tag_key"), pct.alias("coverage_pct"))
         .where("coverage_pct > 0")
         .orderBy(F.desc("coverage_pct"), "tag_key")
         .limit(n)

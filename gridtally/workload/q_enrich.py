@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import columns as C
+from gridtally.factors.tables import lookup
 from gridtally.functions import compute, storage, tokens
 from gridtally.functions.common import exact_sum, is_usage
 from gridtally.operators import enrich as ops
@@ -190,10 +191,10 @@ def storage_replication_azure(spark, sf_dir):
 )
 def join_disk_sku(spark, sf_dir):
     sku = storage.azure_disk_sku(*[AZURE_RUN.col(n) for n in ("category", "subcategory", "meter")])
-    disks = W.sample_factors(spark, C.AZURE).disks.frame
+    disks = W.sample_factors(spark, C.AZURE).disks
     used = W.azure_native(spark, sf_dir).where(sku.isNotNull()).groupBy(sku.alias("sku"))
-    return used.agg(F.count(F.lit(1)).alias("lines")).join(F.broadcast(disks), "sku", "left").select(
-        "sku", "gb", "media", "lines"
+    return lookup(used.agg(F.count(F.lit(1)).alias("lines")), disks, F.col("sku"), "sku", "_d_").select(
+        "sku", F.col("_d_gb").alias("gb"), F.col("_d_media").alias("media"), "lines"
     )
 
 
@@ -418,7 +419,9 @@ def join_llm_coeff(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("lines"))
     )
     dim = W.sample_factors(spark, C.AWS).token_dim()
-    return used.join(F.broadcast(dim.frame), "label", "left").select("label", "kwh_per_1k", "g_per_1k", "lines")
+    return lookup(used, dim, F.col("label"), "label", "_t_").select(
+        "label", F.col("_t_kwh_per_1k").alias("kwh_per_1k"), F.col("_t_g_per_1k").alias("g_per_1k"), "lines"
+    )
 
 
 # --- load and regional factors --------------------------------------------------------------------

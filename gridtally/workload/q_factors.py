@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from gridtally import columns as C
 from gridtally.factors import build as B
 from gridtally.factors import fixed
+from gridtally.factors.tables import load_factor_csv as load_csv
 from gridtally.factors.tables import parse_block, parse_factor_lines
 from gridtally.functions.storage import gb_month_hours
 from gridtally.operators.quality import keys_in_both, keys_only_left, reconcile_gpus, unmatched
+from gridtally.session import scratch_path
 from gridtally.workload import oracle as O
 from gridtally.workload import rows as W
 from gridtally.workload.registry import query
@@ -402,7 +404,7 @@ def factor_llm(spark, sf_dir):
 
 
 def part_labels(spark, sf_dir) -> DataFrame:
-    return W.table(spark, sf_dir, "part").where("p_size < 25").select(
+    return W.table(spark, sf_dir, "part").select(
         F.col("p_name").alias("label"),
         F.when(F.col("p_size") % 5 != 0, F.col("p_brand")).otherwise("").alias("provider"),
         text("m-", "p_partkey").alias("model"),
@@ -410,7 +412,7 @@ def part_labels(spark, sf_dir) -> DataFrame:
 
 
 _UNMAPPED = """SELECT p_brand AS provider, 'm-' || CAST(p_partkey AS VARCHAR) AS model FROM part
-  WHERE NOT (p_size < 25 AND p_size % 5 <> 0)"""
+  WHERE p_size % 5 = 0"""
 
 
 @query("factor_llm_unmapped", _UNMAPPED)
@@ -431,12 +433,12 @@ def anti_unmapped(spark, sf_dir):
 @query(
     "gpu_reconcile",
     O.with_(
-        """o AS (SELECT p_partkey AS k, CASE p_partkey % 2 WHEN 0 THEN 'v100' ELSE 'a10g' END AS gpu, p_size % 8 + 1 AS gpus,
-          CAST(p_size AS DOUBLE) AS lo, p_size * 10E0 AS hi FROM part WHERE p_size > 12)""",
-        """t AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 10 = 0 THEN 'a100' WHEN p_partkey % 2 = 0 THEN 'v100' ELSE 'a10g' END AS gpu,
+        """o AS (SELECT p_partkey * 2 AS k, CASE p_partkey % 2 WHEN 0 THEN 'v100' ELSE 'a10g' END AS gpu, p_size % 8 + 1 AS gpus,
+          CAST(p_size AS DOUBLE) AS lo, p_size * 10E0 AS hi FROM part)""",
+        """t AS (SELECT p_partkey * 3 AS k, CASE WHEN p_partkey % 10 = 0 THEN 'a100' WHEN p_partkey % 2 = 0 THEN 'v100' ELSE 'a10g' END AS gpu,
           p_size % 8 + 1 + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS gpus, p_retailprice AS em,
-          p_retailprice * 0.25E0 AS gem FROM part WHERE p_size < 38)""",
-        "b AS (SELECT p_partkey AS k, p_retailprice * 1.25E0 AS old FROM part WHERE p_type <> 'ECONOMY')",
+          p_retailprice * 0.25E0 AS gem FROM part)""",
+        "b AS (SELECT p_partkey * 6 AS k, p_retailprice * 1.25E0 AS old FROM part)",
     )
     + """SELECT 'i-' || CAST(k AS VARCHAR) AS instance_type,
       CASE WHEN o.gpu IS NOT NULL AND t.gpu IS NOT NULL THEN 'both' WHEN o.gpu IS NOT NULL THEN 'only_ours' ELSE 'only_theirs' END AS status,
@@ -445,25 +447,30 @@ def anti_unmapped(spark, sf_dir):
       FROM o FULL JOIN t USING (k) LEFT JOIN b USING (k)""",
 )
 def gpu_reconcile(spark, sf_dir):
-    parts = W.table(spark, sf_dir, "part").withColumn("instance_type", text("i-", "p_partkey"))
+    """Sides whose names agree in part: multiples of two, of three and of six."""
+    parts = W.table(spark, sf_dir, "part")
     key = F.col("p_partkey")
-    ours = parts.where("p_size > 12").select(
-        "instance_type",
+
+    def named(factor: int) -> Column:
+        return F.concat(F.lit("i-"), (key * factor).cast("string")).alias("instance_type")
+
+    ours = parts.select(
+        named(2),
         choose(key, "NVIDIA_TESLA_V100", "NVIDIA_A10G").alias("gpu"),
         (F.col("p_size") % 8 + 1).alias("gpus"),
         F.col("p_size").cast("double").alias("idle_w"),
         (F.col("p_size") * F.lit(10.0)).alias("full_w"),
     )
     name = F.when(key % 10 == 0, "Tesla A100").otherwise(choose(key, "Tesla V100", "A10G"))
-    theirs = parts.where("p_size < 38").select(
-        "instance_type",
+    theirs = parts.select(
+        named(3),
         name.alias("gpu_name"),
         (F.col("p_size") % 8 + 1 + F.when(key % 5 == 0, 1).otherwise(0)).alias("gpu_units"),
         F.col("p_retailprice").alias("embodied_g"),
         (F.col("p_retailprice") * F.lit(0.25)).alias("gpu_embodied_g"),
     )
-    bundled = parts.where("p_type <> 'ECONOMY'").select(
-        "instance_type", (F.col("p_retailprice") * F.lit(1.25)).alias("embodied_g")
+    bundled = parts.select(
+        named(6), (F.col("p_retailprice") * F.lit(1.25)).alias("embodied_g")
     )
     return reconcile_gpus(ours, theirs, bundled)
 
@@ -472,28 +479,27 @@ def gpu_reconcile(spark, sf_dir):
     "full_outer_reconcile",
     """SELECT status, count(*) AS keys FROM (
       SELECT CASE WHEN a.k IS NULL THEN 'right' WHEN b.k IS NULL THEN 'left' ELSE 'both' END AS status
-      FROM (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_discount > 0.08E0) a
-      FULL JOIN (SELECT p_partkey AS k FROM part WHERE p_size < 20) b USING (k)) GROUP BY 1""",
+      FROM (SELECT DISTINCT l_partkey + l_linenumber AS k FROM lineitem) a
+      FULL JOIN (SELECT p_partkey * 2 AS k FROM part) b USING (k)) GROUP BY 1""",
 )
 def full_outer_reconcile(spark, sf_dir):
-    left = (
-        W.table(spark, sf_dir, "lineitem").where("l_discount > 0.08").select(F.col("l_partkey").alias("k")).distinct()
-        .withColumn("in_left", F.lit(True))
-    )
-    right = W.table(spark, sf_dir, "part").where("p_size < 20").select(F.col("p_partkey").alias("k"), F.lit(True).alias("in_right"))
+    sold, parts = _parts_sold(spark, sf_dir)
+    left = sold.distinct().withColumn("in_left", F.lit(True))
+    right = parts.withColumn("in_right", F.lit(True))
     status = F.when(F.col("in_left").isNull(), "right").when(F.col("in_right").isNull(), "left").otherwise("both")
     return left.join(right, "k", "full_outer").groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("keys"))
 
 
 def _parts_sold(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    sold = W.table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("k"))
-    return sold, W.table(spark, sf_dir, "part").where("p_size > 30").select(F.col("p_partkey").alias("k"))
+    """Two key columns that agree in part, from whole tables."""
+    sold = W.table(spark, sf_dir, "lineitem").select((F.col("l_partkey") + F.col("l_linenumber")).alias("k"))
+    return sold, W.table(spark, sf_dir, "part").select((F.col("p_partkey") * 2).alias("k"))
 
 
 @query(
     "set_difference",
-    """SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity > 45
-       EXCEPT SELECT p_partkey FROM part WHERE p_size > 30""",
+    """SELECT DISTINCT l_partkey + l_linenumber AS k FROM lineitem
+       EXCEPT SELECT p_partkey * 2 FROM part""",
 )
 def set_difference(spark, sf_dir):
     return keys_only_left(*_parts_sold(spark, sf_dir), ["k"])
@@ -501,8 +507,8 @@ def set_difference(spark, sf_dir):
 
 @query(
     "set_intersection",
-    """SELECT l_partkey AS k FROM lineitem WHERE l_quantity > 45
-       INTERSECT SELECT p_partkey FROM part WHERE p_size > 30""",
+    """SELECT l_partkey + l_linenumber AS k FROM lineitem
+       INTERSECT SELECT p_partkey * 2 FROM part""",
 )
 def set_intersection(spark, sf_dir):
     return keys_in_both(*_parts_sold(spark, sf_dir), ["k"])
@@ -539,6 +545,27 @@ def load_factor_csv(spark, sf_dir):
     return parse_factor_lines(lines, "intensity")
 
 
+@query(
+    "load_factor_files",
+    """SELECT provider, region, arg_max(v, ln) AS intensity FROM (
+      SELECT o_orderkey % 2 * 1E12 + o_orderkey AS ln, 'aws' AS provider,
+             'r-' || CAST(o_custkey % 700 AS VARCHAR) AS region, o_totalprice AS v FROM orders) GROUP BY 1, 2""",
+)
+def load_factor_files(spark, sf_dir):
+    """Two folders of several files with the same keys: the later folder wins, and its last file and line."""
+    key = F.col("o_orderkey")
+    line = F.concat(
+        F.lit("aws,r-"), (F.col("o_custkey") % 700).cast("string"), F.lit(","), F.col("o_totalprice").cast("string")
+    )
+    orders = W.table(spark, sf_dir, "orders").select(key, line.alias("value"))
+    folders = []
+    for rest in (0, 1):
+        folders.append(scratch_path(spark, "factor-lines"))
+        part = orders.where(key % 2 == rest).repartitionByRange(4, key).sortWithinPartitions(key)
+        part.select("value").write.text(folders[-1])
+    return load_csv(spark, folders, "intensity")
+
+
 # --- conversions ------------------------------------------------------------------------------------
 
 

@@ -568,7 +568,9 @@ def recommend_instance(spark, sf_dir):
     "recommend_trend",
     sql(
         PERIOD_SUMMARY,
-        "v AS (SELECT * FROM summary WHERE operational_kg IS NOT NULL AND \"BILLING_PERIOD\" BETWEEN '1995-02' AND '1996-01')",
+        """v AS (SELECT CAST(3996 - CAST(substr("BILLING_PERIOD", 1, 4) AS INT) AS VARCHAR) || '-' ||
+          lpad(CAST(13 - CAST(substr("BILLING_PERIOD", 6, 2) AS INT) AS VARCHAR), 2, '0') AS "BILLING_PERIOD", operational_kg
+          FROM summary WHERE operational_kg IS NOT NULL)""",
         """ends AS (SELECT min("BILLING_PERIOD") AS f, max("BILLING_PERIOD") AS l,
           arg_min(operational_kg, "BILLING_PERIOD") AS fk, arg_max(operational_kg, "BILLING_PERIOD") AS lk, count(*) AS n FROM v)""",
         f"""SELECT 'trend' AS kind, l AS subject, {O.r2('(lk / fk - 1E0) * 100E0', 0)} AS value,
@@ -576,8 +578,11 @@ def recommend_instance(spark, sf_dir):
     ),
 )
 def recommend_trend(spark, sf_dir):
+    """Over all periods, counted backwards in time, so that emissions rise."""
     summary = R.summary_by_period(cur(spark, sf_dir))
-    return A.recommend_trend(summary.where(f"{C.BILLING_PERIOD} BETWEEN '1995-02' AND '1996-01'"))
+    year, month = (F.substring(C.BILLING_PERIOD, at, n).cast("int") for at, n in ((1, 4), (6, 2)))
+    mirrored = F.concat((F.lit(3996) - year).cast("string"), F.lit("-"), F.lpad((F.lit(13) - month).cast("string"), 2, "0"))
+    return A.recommend_trend(summary.withColumn(C.BILLING_PERIOD, mirrored))
 
 
 # --- gaps -------------------------------------------------------------------------------------------

@@ -45,5 +45,20 @@ def test_every_query_has_sql():
     assert set(ENGINE) == set(catalog.ORACLE) and set(ENGINE) <= set(entry.queries())
 
 
+def final_plan(frame) -> str:
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_enrichment_stays_in_generated_code(spark, sf_dir):
+    steps = [line for line in final_plan(ENGINE["enrich_aws"](spark, sf_dir)).splitlines() if " Project [" in line]
+    assert steps and all("*(" in line for line in steps), [line[:80] for line in steps]
+
+
+@pytest.mark.parametrize("name", ["tag_coverage", "region_share", "recommend_region"])
+def test_reports_do_not_read_lines_again(spark, sf_dir, name):
+    assert "lineitem" not in final_plan(ENGINE[name](spark, sf_dir))
+
+
 def test_entry(spark, sf_dir):
     assert entry.entry(spark).limit(5).count() == 5

@@ -86,6 +86,41 @@ def test_factor_json(spark, tmp_path):
     assert T.load_storage_rules_json(spark, str(rules)).count() == 4
 
 
+def test_the_last_line_of_the_last_path_wins(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("aws,r,1\n")
+    (tmp_path / "b.csv").write_text("# longer\naws,r,2\n" + "".join(f"aws,q{n},1\n" for n in range(500)) + "aws,r,3\n")
+
+    def value(*names: str) -> float:
+        paths = [str(tmp_path / name) for name in names]
+        return T.load_factor_csv(spark, paths, "intensity").where("region = 'r'").first()["intensity"]
+
+    assert value("a.csv", "b.csv") == 3.0 and value("b.csv", "a.csv") == 1.0
+    assert T.load_factor_csv(spark, str(tmp_path), "intensity").where("region = 'r'").first()["intensity"] == 3.0
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600b")
+    try:
+        assert value("a.csv", "b.csv") == 3.0 and value("b.csv") == 3.0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_factor_joins_agree_on_both_sides_of_the_bound(spark, monkeypatch):
+    regions = spark.createDataFrame(
+        [("aws", f"r{n}", ["United States", "France", None][n % 3], ["Ohio", "Texas", None][n % 3], None) for n in range(60)],
+        "provider string, region string, country string, state string, latitude string",
+    )
+    grids = spark.createDataFrame([("RFCW", 2.0), ("ERCT", 3.0)], "key string, value double")
+    nations = spark.createDataFrame([("France", 5.0)], "key string, value double")
+
+    def rows() -> list[tuple]:
+        return [tuple(r) for r in B.factor_wcf(regions, grids, nations).collect()]
+
+    small = rows()
+    checked = T.Dim.checked
+    monkeypatch.setattr(T.Dim, "checked", staticmethod(lambda frame: checked(frame, limit=0)))
+    assert small == rows() and len(small) == 40
+
+
 def test_large_tables_are_not_broadcast(spark):
     big = T.Dim.checked(spark.range(50).selectExpr("cast(id as string) k", "id v"), limit=10)
     assert not big.small and T.Dim.checked(spark.range(10).selectExpr("id"), limit=10).small
