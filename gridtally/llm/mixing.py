@@ -9,7 +9,8 @@ they have are kept whole and the others make up for it. A document is in the
 sample if the uniform number that its key's digest gives is below that.
 
 All of it is on the table of cells, which Spark keeps distributed; the driver
-sees sums only. Each round is written once.
+sees sums only. Target shares are joined to the cells once, and the cells are
+written after each margin, so every step is one sum and one join of a written table.
 
 Nulls: a null margin value is the value ``unknown``; a null key counts as the
 empty text in the digest; null tokens count as 0, and such documents follow their
@@ -69,22 +70,21 @@ def tempered(cells: DataFrame, margin: str, exponent: float) -> DataFrame:
 
 def raked(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """Cells with a ``weight``; the weights add up to 1 and follow the targets."""
-    scaled = {}
+    columns = cells.columns
+    cells = cells.withColumn("weight", F.col("tokens").cast("double"))
     for name, target in targets.items():
         target = written_once(target, "targets")
         whole = target.agg(F.sum("share")).first()[0] or 1.0
-        scaled[name] = target.select(name, (F.col("share") / F.lit(whole)).alias("share"))
-    cells = cells.withColumn("weight", F.col("tokens").cast("double"))
+        share = target.select(name, (F.col("share") / F.lit(whole)).alias(f"share_{name}"))
+        cells = cells.join(share, name, "left")
+    cells = written_once(cells, "cells")
     for _ in range(rounds):
-        for name, target in scaled.items():
+        for name in targets:
             sums = cells.groupBy(name).agg(F.sum("weight").alias("sum_weight"))
-            factor = sums.join(target, name, "left").select(
-                name,
-                F.coalesce(F.col("share") / F.nullif(F.col("sum_weight"), F.lit(0.0)), F.lit(0.0)).alias("factor"),
-            )
-            cells = cells.join(factor, name).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        cells = written_once(cells, "cells")
-    return cells
+            factor = F.coalesce(F.col(f"share_{name}") / F.nullif(F.col("sum_weight"), F.lit(0.0)), F.lit(0.0))
+            cells = cells.join(sums, name).withColumn("weight", F.col("weight") * factor).drop("sum_weight")
+            cells = written_once(cells, "cells")
+    return cells.select(*columns, "weight")
 
 
 def calibrated(cells: DataFrame, fraction: float = FRACTION) -> DataFrame:
