@@ -57,6 +57,7 @@ def test_enrichment_stays_in_generated_code(spark, sf_dir):
 
 @pytest.mark.parametrize("name", ["tag_coverage", "region_share", "recommend_region"])
 def test_reports_do_not_read_lines_again(spark, sf_dir, name):
+    assert "lineitem.parquet" in final_plan(ENGINE["top_services"](spark, sf_dir))
     assert "lineitem" not in final_plan(ENGINE[name](spark, sf_dir))
 
 
