@@ -13,7 +13,10 @@ the entry's own impacts without its common terms. Entries that pass are scored i
 full. All bounds are safe: every entry above the threshold is found.
 
 What is found is verified: large enough parts of the word 3-grams of the item's
-question and of its answer must occur around the passage.
+question and of its answer must occur around the passage, within as many words on
+each side as the item has and a step more. Passages that start within an item's
+length of each other are verified together, so that a text is read a bounded number
+of times for each item, however long.
 
 The index is broadcast in shards of at most MAX_ITEMS items (by hash of the item,
 so about; longer items count as several entries), with one pass over the texts
@@ -83,6 +86,8 @@ class Index(NamedTuple):
     needed_in_block: np.ndarray
     full: list[dict[int, float]]  # entry -> impact of all its terms
     item: list  # entry -> item
+    owner: list[int]  # entry -> number of its item
+    length: list[int]  # entry -> words of its item
     questions: list[np.ndarray]
     answers: list[np.ndarray]
 
@@ -92,10 +97,11 @@ def build_index(items: list[tuple[object, str]]) -> Index:
     found = words([text or "" for _, text in items])
     entries: list[np.ndarray] = []
     owner: list[int] = []
-    questions, answers = [], []
+    questions, answers, lengths = [], [], []
     for i in range(len(items)):
         digest = found.digest[found.first[i] : found.first[i + 1]]
         half = (len(digest) + 1) // 2
+        lengths.append(len(digest))
         questions.append(np.unique(grams(digest[:half])))
         answers.append(np.unique(grams(digest[half:])))
         for piece in np.array_split(digest, max(1, math.ceil(len(digest) / STEP))):
@@ -151,6 +157,8 @@ def build_index(items: list[tuple[object, str]]) -> Index:
         needed_in_block,
         full,
         [items[owner[e]][0] for e in order],
+        [owner[e] for e in order],
+        [lengths[owner[e]] for e in order],
         [questions[owner[e]] for e in order],
         [answers[owner[e]] for e in order],
     )
@@ -230,6 +238,21 @@ def passages(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begin, np.minimum(begin + PASSAGE, first[text + 1]), text
 
 
+def together(hits: list[tuple[int, int, float]], index: Index, begin: np.ndarray, text: np.ndarray) -> Iterator[list[tuple[int, int, float]]]:
+    """Hits of one item in one text whose passages start within the item's length."""
+    group: list[tuple[int, int, float]] = []
+    key = None
+    for hit in sorted(hits, key=lambda x: (text[x[0]], index.owner[x[1]], x[0])):
+        p, e, _ = hit
+        if group and (key != (text[p], index.owner[e]) or begin[p] - begin[group[0][0]] > index.length[e]):
+            yield group
+            group = []
+        key = (text[p], index.owner[e])
+        group.append(hit)
+    if group:
+        yield group
+
+
 def search(docs: DataFrame, index: Index) -> DataFrame:
     """Verified matches of one shard of the index: (doc_id, item_id, score, question_overlap, answer_overlap)."""
     sent = docs.sparkSession.sparkContext.broadcast(index)
@@ -244,19 +267,18 @@ def search(docs: DataFrame, index: Index) -> DataFrame:
         for part in slices(texts):
             found = words(texts[part])
             begin, end, text = passages(found.first)
-            best: dict[tuple[int, int], tuple[float, float, float]] = {}
-            for p, e, score in retrieve(index, terms_of(index, found.digest), begin, end):
-                low = max(begin[p] - STEP, found.first[text[p]])
-                high = min(end[p] + STEP, found.first[text[p] + 1])
+            by_item: dict[tuple[int, object], tuple[float, float, float]] = {}
+            for group in together(retrieve(index, terms_of(index, found.digest), begin, end), index, begin, text):
+                (p, e, _), last = group[0], group[-1][0]
+                around = index.length[e] + STEP
+                low = max(begin[p] - around, found.first[text[p]])
+                high = min(end[last] + around, found.first[text[p] + 1])
                 have = grams(found.digest[low:high])
                 question, answer = share(index.questions[e], have), share(index.answers[e], have)
                 if question >= OVERLAP and answer >= OVERLAP:
-                    key = (int(text[p]), e)
-                    best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (score, question, answer))
-            by_item: dict[tuple[int, object], tuple[float, float, float]] = {}
-            for (t, e), value in best.items():
-                key = (t, index.item[e])
-                by_item[key] = max(by_item.get(key, value), value)
+                    value = (max(score for _, _, score in group), question, answer)
+                    key = (int(text[p]), index.item[e])
+                    by_item[key] = max(by_item.get(key, value), value)
             for (t, item), value in sorted(by_item.items(), key=lambda x: x[0][0]):
                 for name, x in zip(_COLUMNS, (ids[part][t], item, *value)):
                     rows[name].append(x)

@@ -293,6 +293,16 @@ def test_leaks(spark):
     assert got == {(30, 3), (31, 50), (None, 5)}
 
 
+def test_leaks_of_long_items(spark):
+    """Verbatim copies at every offset of the stride."""
+    items = [(n, made(n, 900 + n)) for n in (300, 450, 2000)]
+    docs = [(n * 1000 + k, " ".join([made(70 + k, k), text, made(90, 3000 + k)])) for n, text in items for k in range(decontaminate.STEP)]
+    halves = [(-n, made(100, n) + " " + " ".join(text.split()[: n // 2]) + " " + made(n, n + 1)) for n, text in items]
+    frame = spark.createDataFrame(docs + halves, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, i // 1000) for i, _ in docs}
+
+
 def test_bounds_lose_no_entry():
     items = [(i, made(25 + i % 20, i)) for i in range(90)]
     index = decontaminate.build_index(items)
