@@ -7,11 +7,10 @@ most r = sqrt(2 - 2t). Equal vectors are one class.
    bounded sample (SAMPLE classes by hash). Every class is put into the inverted
    list of its nearest centroid, with the codes of its residual and the distance
    between the residual and what its codes stand for.
-2. A query probes the nearest lists, without those from whose cell it is more than
-   r away: a vector of such a list lies beyond the plane midway between the two
-   centroids, so it is no loss. How many nearest lists are sufficient is measured
-   when the index is fitted: twice as many as it takes to find every link of
-   TRIALS vectors of the sample, found there by brute force.
+2. A query probes all lists but those from whose cell it is more than r away: a
+   vector of such a list lies beyond the plane midway between the two centroids,
+   so it is no loss. Where vectors have no groups that is most lists, and the work
+   grows with the square of the table.
 3. In a list, distances come from lookup tables of the query's subspaces and the
    codes. A pair stays if that distance less the code's own error is at most r,
    which loses no link.
@@ -57,9 +56,6 @@ SECTION = 32
 #: Members and queries of one block.
 MEMBERS = 4096
 QUERIES = 8192
-#: Vectors of the sample whose links the number of probes is measured on, and the fewest probes.
-TRIALS = 2_000
-LEAST_PROBES = 8
 #: Distances are compared with this slack; cosines are not.
 SLACK = 1e-6
 
@@ -69,7 +65,6 @@ class Index(NamedTuple):
     section: np.ndarray  # list -> section
     books: np.ndarray  # subspaces by codes by width
     width: int
-    probes: int
 
 
 def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -89,19 +84,7 @@ def _means(points: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
-def sufficient_probes(centroids: np.ndarray, points: np.ndarray, threshold: float) -> int:
-    """Twice as many nearest lists as hold all links of some of the points."""
-    home = _squares(points, centroids).argmin(axis=1)
-    most = 0
-    for k in range(0, min(TRIALS, len(points)), 200):
-        some = points[k : min(k + 200, TRIALS)]
-        i, j = np.nonzero(some @ points.T >= threshold)
-        rank = _squares(some, centroids).argsort(axis=1).argsort(axis=1)
-        most = max(most, int(rank[i, home[j]].max(initial=0)))
-    return min(len(centroids), max(LEAST_PROBES, 2 * (most + 1)))
-
-
-def fit(points: np.ndarray, lists: int, threshold: float = THRESHOLD) -> Index:
+def fit(points: np.ndarray, lists: int) -> Index:
     centroids = _means(points, lists)
     residual = points - centroids[_squares(points, centroids).argmin(axis=1)]
     width = -(-points.shape[1] // SUBSPACES)
@@ -109,7 +92,7 @@ def fit(points: np.ndarray, lists: int, threshold: float = THRESHOLD) -> Index:
     books = [_means(part, min(CODES, len(points))) for part in np.split(padded, SUBSPACES, axis=1)]
     middles = _means(centroids, -(-len(centroids) // SECTION))
     section = _squares(centroids, middles).argmin(axis=1)
-    return Index(centroids, section, np.stack(books), width, sufficient_probes(centroids, points, threshold))
+    return Index(centroids, section, np.stack(books), width)
 
 
 def _parts(index: Index, x: np.ndarray) -> list[np.ndarray]:
@@ -132,8 +115,7 @@ def probes(index: Index, points: np.ndarray, home: np.ndarray, radius: float) ->
     own = squares[np.arange(len(points)), home]
     apart = np.sqrt(_squares(index.centroids, index.centroids))[home]
     beyond = np.divide(squares - own[:, None], 2 * apart, out=np.zeros_like(squares), where=apart > 0)
-    near = squares.argsort(axis=1).argsort(axis=1) < index.probes
-    return near & (beyond <= radius + SLACK)
+    return beyond <= radius + SLACK
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -142,10 +124,11 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 def _close(index: Index, home: int, queries: np.ndarray, codes: np.ndarray, error: np.ndarray, radius: float) -> np.ndarray:
     """Which pairs may be within the radius, by asymmetric table lookup."""
-    total = np.zeros((len(queries), len(codes)), np.float32)
+    # Members by queries, so that whole rows of a table are added.
+    total = np.zeros((len(codes), len(queries)), np.float32)
     for s, part in enumerate(_parts(index, queries - index.centroids[home])):
-        total += _squares(part, index.books[s]).astype(np.float32)[:, codes[:, s]]
-    return total <= (radius + error + 1e-4) ** 2
+        total += np.ascontiguousarray(_squares(part, index.books[s]).T, np.float32)[codes[:, s]]
+    return (total <= ((radius + error + 1e-4) ** 2)[:, None]).T
 
 
 def _linked(unit: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
@@ -204,7 +187,7 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not sample:
         return spark.createDataFrame([], "a long, b long, links long")
     points = np.stack([np.frombuffer(r.unit, np.float64) for r in sample])
-    sent = spark.sparkContext.broadcast(fit(points, lists, threshold))
+    sent = spark.sparkContext.broadcast(fit(points, lists))
 
     def place(batch: pa.RecordBatch) -> Iterator[dict]:
         index, points = sent.value, _matrix(batch.column("unit"))

@@ -13,7 +13,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from gridtally.llm import decontaminate, html_text, language, mixing, repeats, secrets, sharding, token_counts
+from gridtally.llm import decontaminate, embeddings, html_text, language, mixing, repeats, secrets, sharding, token_counts
 from gridtally.llm.components import components
 from gridtally.llm.embeddings import near_duplicates
 from gridtally.llm.jaccard import similar
@@ -165,6 +165,17 @@ def test_vectors(spark):
     assert got[None].n_links == 0 and got[None].component_id is None
 
 
+def test_vectors_of_many_lists(spark, monkeypatch):
+    """Links between lists that are far apart, with a sample that is a small part of the table."""
+    monkeypatch.setattr(embeddings, "SAMPLE", 250)
+    points = np.random.default_rng(6).normal(size=(5000, 8))
+    frame = spark.createDataFrame(list(enumerate(points.tolist())), "vec_id long, embedding array<double>")
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    expect = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in near_duplicates(frame).collect()}
+    assert [got[i] for i in range(len(points))] == expect.tolist()
+
+
 def test_forward_backward_is_exact():
     chooser = np.random.default_rng(2)
     score, passing = chooser.normal(size=(7, 3)), chooser.normal(size=(3, 3))
