@@ -8,8 +8,13 @@ gradient in training and each word's language probabilities in prediction.
 
 Training labels are languages of whole texts. Pieces of different texts are put
 one after the other, so that transitions between languages are learned as well.
-The sample is bounded: at most ``per_language`` texts of each language, chosen by
-a hash of the key, of at most ``longest`` characters each, whole.
+The sample is bounded: at most ``per_language`` texts with letters of each language,
+chosen by a hash of the key, of at most ``longest`` characters each, whole. Where a
+language has too few of these, its longer texts follow, each with the whole words
+of its first ``longest`` characters. Repeated rows are learned from once.
+
+Training goes through chains of at most CHAIN words one after the other and adds
+up their slopes, so that memory is bounded by the sample's features.
 
 The chains of many texts are worked through together: cut into equally long
 stretches, each stretch's product of transition matrices is made in parallel,
@@ -35,12 +40,14 @@ from gridtally.llm.tables import mapped, texts_of
 from gridtally.llm.words import Words, kinds, slices, words
 
 UNKNOWN = "und"
-PER_LANGUAGE = 60
+PER_LANGUAGE = 120
 LONGEST = 20_000
 BITS = 16
 STEPS = 20
 #: Words of one piece of a training chain.
 PIECE = 40
+#: Words of one training chain, at most.
+CHAIN = 1 << 16
 
 _K = np.random.default_rng(5).integers(1, 2**63, 8, dtype=np.uint64) | np.uint64(1)
 _DOWN = np.uint64(64 - BITS)
@@ -166,37 +173,45 @@ def fit(texts: list[str], labels: list[str], steps: int = STEPS, rate: float = 0
     weights, transitions = np.zeros((ROWS, max(size, 1)), np.float32), np.zeros((size, size))
     if size < 2 or not any(texts):
         return Crf(languages, weights, transitions)
-    found = words(texts)
-    gold = np.repeat([languages.index(x) for x in labels], np.diff(found.first))
-    n = len(found.digest)
+    made = []
+    for part in slices(texts):
+        found = words(texts[part])
+        feature, _, lexicon = features(found)
+        made.append((feature, lexicon.astype(np.int32), (found.end - found.start).astype(np.int32), np.diff(found.first)))
+    feature, lexicon, length, count = (np.concatenate(x) for x in zip(*made))
+    del made
+    gold = np.repeat(np.array([languages.index(x) for x in labels], np.int32), count)
+    n = len(lexicon)
     if not n:
         return Crf(languages, weights, transitions)
-    # Pieces in another order make one long code-switched chain.
-    owner = found.text_of_word()
-    piece = owner * (n // PIECE + 1) + (np.arange(n) - found.first[owner]) // PIECE
+    # Pieces in another order make long code-switched chains.
+    owner = np.repeat(np.arange(len(count)), count)
+    piece = owner * (n // PIECE + 1) + (np.arange(n) - (np.cumsum(count) - count)[owner]) // PIECE
     shuffled = np.random.default_rng(3).permutation(int(piece.max()) + 1)[piece]
     order = np.argsort(shuffled, kind="stable")
-    feature, begin, lexicon = features(found)
-    length = found.end - found.start
-    word_of_char = np.repeat(np.arange(n), length)
-    gold = gold[order]
-    starts = np.zeros(n, bool)
-    starts[0] = True
+    first = np.cumsum(length, dtype=np.int64) - length
+    chains = [order[k : k + CHAIN] for k in range(0, n, CHAIN)]
     observed = np.zeros((size, size))
-    np.add.at(observed, (gold[:-1], gold[1:]), 1)
-    target = np.eye(size)[gold]
+    for chain in chains:
+        np.add.at(observed, (gold[chain[:-1]], gold[chain[1:]]), 1)
     square, square_t = np.zeros_like(weights), np.zeros_like(transitions)
     for _ in range(steps):
-        score = emissions(weights, (feature, begin, lexicon))[order]
-        word, expected = _expectations(score, starts, transitions)
-        slope = np.empty((n, size))
-        slope[order] = target - word
-        change = np.zeros((ROWS, size))
-        for label in range(size):
-            by_char = slope[word_of_char, label]
-            for column in range(3):
-                change[:, label] += np.bincount(feature[:, column], by_char, ROWS)
-            change[:, label] += np.bincount(lexicon, slope[:, label], ROWS)
+        change, expected = np.zeros((ROWS, size)), np.zeros((size, size))
+        for chain in chains:
+            long = length[chain]
+            begin = np.cumsum(long, dtype=np.int64) - long
+            mine = feature[np.repeat(first[chain] - begin, long) + np.arange(int(long.sum()))]
+            starts = np.zeros(len(chain), bool)
+            starts[0] = True
+            word, passed = _expectations(emissions(weights, (mine, begin, lexicon[chain])), starts, transitions)
+            expected += passed
+            slope = np.eye(size)[gold[chain]] - word
+            word_of_char = np.repeat(np.arange(len(chain)), long)
+            for label in range(size):
+                by_char = slope[word_of_char, label]
+                for column in range(3):
+                    change[:, label] += np.bincount(mine[:, column], by_char, ROWS)
+                change[:, label] += np.bincount(lexicon[chain], slope[:, label], ROWS)
         change -= decay * n * weights
         square += change**2
         weights += (rate * change / np.sqrt(square + 1e-8)).astype(np.float32)
@@ -213,15 +228,22 @@ def held_out() -> F.Column:
 
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONGEST) -> DataFrame:
     """Labelled texts to learn from: at most ``per_language`` of each language."""
-    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    keys = keys.where(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    text = F.col("text").cast("string")
+    # A word that the cut goes through is left out.
+    cut = F.regexp_replace(F.substring(text, 1, longest + 1), r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++$", "")
+    fits = F.length(text) <= longest
+    labelled = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("lang").cast("string").alias("lang"),
+        F.when(fits, text).otherwise(F.substring(cut, 1, longest)).alias("text"),
+        (~fits).alias("cut"),
+        F.xxhash64(text).alias("digest"),
+    ).where(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    keys = ["doc_id", "lang", "cut", "digest"]
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("cut", F.xxhash64("doc_id"), "doc_id", "digest"))
     # Ranked without the texts, cut on each side of the shuffle; their number is bounded.
-    chosen = keys.withColumn("nth", nth).where(F.col("nth") <= per_language).select("doc_id", "lang").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").where(
-        F.col("text").isNotNull() & (F.length("text") <= longest) & (F.length("text") > 0)
-    )
+    chosen = labelled.select(*keys).distinct().withColumn("nth", nth).where(F.col("nth") <= per_language).select(*keys)
+    return labelled.join(F.broadcast(chosen), keys).dropDuplicates(keys).select("doc_id", "lang", "text")
 
 
 def train(docs: DataFrame, **settings) -> Crf:

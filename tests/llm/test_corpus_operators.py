@@ -202,6 +202,34 @@ def test_language(spark, sf_dir):
     assert sum(held) / len(held) > 0.9
 
 
+def test_language_sample_is_filled(spark):
+    """Null, empty, wordless and long texts leave no language without texts to learn from."""
+    rows = [(i, made(20, i) if i % 3 == 0 else [None, "", "12 ..."][i % 2 + (i % 5 == 0)], "aa") for i in range(600)]
+    rows += [(1000 + i, made(900, i), "bb") for i in range(40)]
+    rows += [(2000 + i, made(900, i) if i % 2 else made(30, i), "cc") for i in range(40)] + [(3000, "x" * 9000, "dd")]
+    rows += [(4000, "one two", "ee")] * 9 + [(4001, "three", "ee"), (4002, "four", "ee"), (4003, "five", "ee")]
+    texts = {i: t for i, t, _ in rows}
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.sample(frame, 12, 1000).collect()
+    count = Counter(r.lang for r in got)
+    assert (count["aa"], count["bb"], count["cc"], count["dd"]) == (12, 12, 12, 0)
+    for r in got:
+        full = texts[r.doc_id]
+        assert r.text == full if len(full) <= 1000 else full.startswith(r.text) and 900 < len(r.text) <= 1000
+        assert set(r.text.split()) <= set(full.split()) and re.search("[a-z]", r.text)
+        assert r.lang != "cc" or len(full) <= 1000
+    assert count["ee"] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(4000, 4004))
+
+
+def test_language_chains_add_up(monkeypatch):
+    texts, labels = [made(300, 1), made(300, 2).upper().replace("A", "å"), made(50, 3)], ["x", "y", "x"]
+    whole = language.fit(texts, labels, steps=3)
+    monkeypatch.setattr(language, "CHAIN", 100)
+    parts = language.fit(texts, labels, steps=3)
+    score = [language.emissions(m.weights, language.features(words(texts))) for m in (whole, parts)]
+    assert (score[0].argmax(axis=1) == score[1].argmax(axis=1)).mean() > 0.98
+
+
 def test_mixing(spark, docs):
     rows = [(i, "ab"[i % 5 > 3], ["x", "y", None][i % 3], ["p", "q"][i % 7 > 4], 10 + i % 9) for i in range(4000)]
     frame = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, tokens long").fillna("unknown")
