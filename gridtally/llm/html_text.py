@@ -1,12 +1,13 @@
 """The main text of web pages, with site templates removed.
 
 Each element outside of the marked article is a subtree with a digest. Digests
-are counted per host over different pages; a subtree that recurs on many pages of
-its host belongs to the site's template and is deleted there. So are the elements
+are counted per host over different pages; a subtree that recurs on MIN_PAGES pages
+of its host and on MIN_SHARE of all its pages belongs to the site's template and is
+deleted there (so no host of fewer pages than MIN_PAGES has one). So are the elements
 whose tag, role or class says that they are no part of an article. Where a page
 marks an article or a main part, the text is taken from there only, and template
-removal does not touch its paragraphs and headings: a paragraph that many pages
-quote is still theirs.
+removal touches nothing in an article and no paragraphs and headings in a main part:
+a paragraph that many pages quote is still theirs.
 
 Counting is by host and digest, combined before the shuffle, so a host with a
 third of all pages is spread over its subtrees. What is to be deleted on a page
@@ -33,6 +34,8 @@ from gridtally.session import written_once
 
 #: Pages of a host on which a subtree must recur to be part of its template.
 MIN_PAGES = 5
+#: Part of the host's pages on which it must recur as well.
+MIN_SHARE = 0.25
 
 # Kinds of elements of HTML, and words that mark parts around an article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -86,10 +89,10 @@ def _marked(attributes: str) -> bool:
 class Element:
     """An open element: tag, where its source starts, and what it is."""
 
-    __slots__ = ("tag", "start", "gone", "main", "inline", "blocks")
+    __slots__ = ("tag", "start", "gone", "main", "article", "inline", "blocks")
 
-    def __init__(self, tag: str, start: int, gone: bool, main: bool, blocks: int):
-        self.tag, self.start, self.gone, self.main, self.blocks = tag, start, gone, main, blocks
+    def __init__(self, tag: str, start: int, gone: bool, main: bool, article: bool, blocks: int):
+        self.tag, self.start, self.gone, self.main, self.article, self.blocks = tag, start, gone, main, article, blocks
         self.inline = tag in INLINE
 
 
@@ -164,6 +167,7 @@ class Page:
                     break
         above = self._stack[-1] if self._stack else None
         main = tag in ("article", "main") or above is not None and above.main
+        article = tag == "article" or above is not None and above.article
         structural = tag in ("html", "body", "article", "main")
         gone = (
             above is not None and above.gone
@@ -171,7 +175,7 @@ class Page:
             or tag == "header" and not main
             or not structural and _marked(attributes)
         )
-        self._stack.append(Element(tag, start, gone, main, len(self.blocks)))
+        self._stack.append(Element(tag, start, gone, main, article, len(self.blocks)))
 
     def _close(self, tag: str, end: int) -> None:
         for depth in range(len(self._stack) - 1, -1, -1):
@@ -189,7 +193,7 @@ class Page:
         if not element.inline:
             self._break()
         self._stack.pop()
-        text = element.main and element.tag in TEXT
+        text = element.article or element.main and element.tag in TEXT
         if element.inline or element.gone or text or element.tag in ("html", "body", "article", "main"):
             return
         if len(self.blocks) > element.blocks:
@@ -228,7 +232,7 @@ def subtrees(keyed: DataFrame) -> DataFrame:
     )
 
 
-def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     url, html = F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit(""))
     keyed = pages.select(
@@ -242,6 +246,11 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     found = written_once(subtrees(keyed), "subtrees")
     once = found.select("host", "digest", "address").distinct()
     template = once.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
+    sizes = keyed.select("host", "address").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    # On smaller hosts the share is less than the number of pages.
+    large = sizes.where(F.col("host_pages") * min_share > min_pages)
+    enough = F.col("host_pages").isNull() | (F.col("pages") >= F.col("host_pages") * min_share)
+    template = template.join(large, "host", "left").where(enough).select("host", "digest")
     drop = (
         found.join(template, ["host", "digest"])
         .groupBy("page_key")

@@ -143,6 +143,17 @@ def test_main_text(spark):
     assert got[13] == "T\nA b c\nd\ne\nf" and got[14] == "1 < 2\nend"
 
 
+def test_main_text_keeps_copied_articles(spark):
+    """Copies on a large host, unmarked or wrapped inside of an article, are no template; what most pages hold is."""
+    side, copy = "<div class='box'>Read more</div>", "<div><p>Copied</p><ul><li>text</li></ul></div>"
+    bodies = [f"{side}<div><p>Own {i}</p></div>{copy if i < 8 else ''}" for i in range(40)]
+    pages = [(i, f"https://l.org/{i}", f"<body>{b}</body>") for i, b in enumerate(bodies)]
+    pages += [(100 + i, f"https://m.org/{i}", f"<body><article><h1>T{i}</h1>{copy}<table><tr><td>x</table></article></body>") for i in range(6)]
+    got = {r.page_id: r.text for r in html_text.op3_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(40)] == [f"Own {i}" + "\nCopied\ntext" * (i < 8) for i in range(40)]
+    assert [got[100 + i] for i in range(6)] == [f"T{i}\nCopied\ntext\nx" for i in range(6)]
+
+
 def test_vectors(spark):
     chooser = np.random.default_rng(4)
     points = []
