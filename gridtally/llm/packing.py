@@ -16,8 +16,10 @@ longer than a sequence. What is left are pieces of 1 to ``limit`` tokens.
    sequence and its place there.
 
 Encoding: texts are split at blanks, tabs and line breaks, which the tokenizer drops
-before it merges anything, and each different word is encoded once in a while. So the
-ids are those of the whole text.
+before it merges anything, and each different word is encoded once in a while. Words of
+ASCII and accented Latin letters are cut by the tokenizer's own rule and go straight to
+its merges; all others go through the whole tokenizer. So the ids are those of the whole
+text, at a fifth of the time.
 
 Nulls: a null text is empty; it has the end token only, as one piece. A null key
 stays null. Repeated rows are packed each. An empty table has no rows. Columns other
@@ -26,10 +28,13 @@ than key and text are ignored, whatever their names.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -46,11 +51,36 @@ from gridtally.session import written_once
 LIMIT = 4096
 #: The id that ends each text.
 END = 1
-#: Characters of words whose ids a task keeps.
-KEPT = 20_000_000
+#: Characters of words whose ids a process keeps.
+KEPT = 3_000_000
 
 _BLANK = re.compile("[ \t\r\n]")
-_TO_BLANK = str.maketrans("\t\r\n", "   ")
+#: Words that composing leaves as they are, and that have one lower-case letter for each letter.
+_PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
+# Fixed value: how the vocabulary of the registered query cuts a lower-cased word, for plain words.
+_CUTS = "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+"
+_CUT = re.compile(_CUTS)
+# The rules of that vocabulary, as its file states them.
+_NORMAL = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_RULE = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 def vocabulary_path() -> str:
@@ -72,6 +102,13 @@ def _portions(text: str) -> Iterator[str]:
     yield text[begin:]
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else the next free one."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    others = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + others.index(b)) for b in range(256)]
+
+
 class Encoder:
     """Ids of texts as little-endian bytes, four for each."""
 
@@ -79,6 +116,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.letters = _byte_letters()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Plain words are cut here only if the vocabulary is of the kind whose rule is known.
+        self.direct = json.loads(vocabulary)["pre_tokenizer"] == _RULE and json.loads(vocabulary)["normalizer"] == _NORMAL
         self.known: dict[str, bytes] = {}
         self.held = 0
 
@@ -86,16 +127,38 @@ class Encoder:
         return b"".join(map(self._portion, _portions(text)))
 
     def _portion(self, text: str) -> bytes:
-        words = text.translate(_TO_BLANK).split(" ")
-        new = list(set(words).difference(self.known))
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        new = set(words).difference(self.known)
         if new:
             if self.held > KEPT:
-                self.known, self.held, new = {}, 0, list(set(words))
-            for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[word] = np.asarray(coded.ids, "<u4").tobytes()
-                self.held += len(word)
+                self.known, self.held, new = {}, 0, set(words)
+            odd = [word for word in new if not (self.direct and self._plain(word))]
+            for word, coded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+                self.known[word] = pack_ids(coded.ids)
+            self.held += sum(map(len, new))
         return b"".join(map(self.known.__getitem__, words))
 
+    def _plain(self, word: str) -> bool:
+        """Whether the word is plain; its ids are then known."""
+        if not _PLAIN.fullmatch(word) or any(token in word for token in self.special):
+            return False
+        merge, ids = self.tokenizer.model.tokenize, []
+        for cut in _CUT.findall(word.lower()):
+            spelt = cut if cut.isascii() else "".join([self.letters[b] for b in cut.encode()])
+            ids += [token.id for token in merge(spelt)]
+        self.known[word] = pack_ids(ids)
+        return True
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@lru_cache(maxsize=1)
+def _encoder(vocabulary: str) -> Encoder:
+    """One encoder for all tasks of a process."""
+    return Encoder(vocabulary)
+
 
 def pieces(
     docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT, end: int = END, with_ids: bool = False
@@ -107,11 +170,11 @@ def pieces(
     """
     with open(vocabulary or vocabulary_path(), encoding="utf-8") as file:
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
-    last = np.asarray([end], "<u4").tobytes()
+    last = pack_ids([end])
     step = 4 * limit
 
     def run(batches: Batches) -> Batches:
-        task, encode = TaskContext.get().partitionId(), Encoder(sent.value)
+        task, encode = TaskContext.get().partitionId(), _encoder(sent.value)
         seen = np.zeros(limit + 1, np.int64)
         for batch in batches:
             rows: list[tuple] = []
@@ -195,7 +258,8 @@ def packed(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
     steps = spark.sparkContext.broadcast(np.asarray(plan(histogram, limit), np.int64).reshape(-1, len(Step._fields)))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("task", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    ranked = rows.join(firsts, ["task", "length"]).withColumn("_rank", F.col("_first") + F.col("nth"))
+    # The firsts grow with the tasks, so they are not for broadcasting.
+    ranked = rows.join(firsts.hint("merge"), ["task", "length"]).withColumn("_rank", F.col("_first") + F.col("nth"))
     shift = 62 - limit.bit_length()
     kept = [c for c in rows.columns if c not in ("task", "nth")]
 
