@@ -10,34 +10,6 @@ from pyspark.sql import types as T
 
 from gridtally import columns as C
 
-# Significant digits of a shown sum; the rest depends on the order of addition.
-_DIGITS = 12
-# Sums of prices often end in a 5 right after these digits. Moved by less than they
-# show, such sums do not lie between two results that the order would choose from.
-_OFF_TIES = 1.0 + 2e-13
-
-
-def significant(value: Column, digits: int = _DIGITS) -> Column:
-    """A double rounded to significant digits, whatever its size or sign; NaN and infinity stay."""
-    finite = F.abs(value) < F.lit(float("inf"))
-    return F.when(finite, F.format_string(f"%.{digits - 1}e", value * F.lit(_OFF_TIES)).cast("double")).otherwise(value)
-
-
-def exact_sum(value: Column, when: Column | None = None) -> Column:
-    """Sum of doubles, given to the digits that do not depend on the order of the rows.
-
-    A plain double sum changes in its last digits with partitioning and with
-    task retries. No value is dropped or changed before it is added, so tiny and
-    huge values count alike. NULL if no value is present.
-    """
-    value = value.cast("double")
-    return significant(F.sum(value if when is None else F.when(when, value)))
-
-
-def exact_avg(value: Column) -> Column:
-    """Mean of the non-NULL values over :func:`exact_sum`; NULL if there are none."""
-    return F.try_divide(exact_sum(value), F.count(value).cast("double"))
-
 
 def rounded(value: Column, digits: int = 2) -> Column:
     """Round half away from zero on the scaled binary value, as a display measure."""

@@ -49,17 +49,16 @@ def gpu_energy(amount: Column, watts: Column, gpus: Column) -> Column:
     return amount * watts * gpus / F.lit(1000.0)
 
 
-def serverless_energy(
+def serverless_rate(
     operation: Column,
     usage_type: Column,
-    amount: Column,
     memory: float = MEMORY_KWH,
     x86: float = X86_KWH,
     arm: float = ARM_KWH,
 ) -> Column:
-    """Container tasks, or else serverless clusters: by memory and by vCPU."""
+    """kWh a unit of container tasks, or else of serverless clusters: by memory and by vCPU."""
     per_cpu = F.when(usage_type.contains("-ARM-"), F.lit(arm)).otherwise(F.lit(x86))
-    rate = F.when(
+    return F.when(
         operation.eqNullSafe("FargateTask"),
         F.when(usage_type.endswith("-GB-Hours"), F.lit(memory)).when(
             usage_type.endswith("-vCPU-Hours:perCPU"), per_cpu
@@ -68,4 +67,3 @@ def serverless_energy(
         usage_type.contains("EMR-SERVERLESS"),
         F.when(usage_type.endswith("MemoryGBHours"), F.lit(memory)).when(usage_type.endswith("-vCPUHours"), per_cpu),
     )
-    return amount * rate

@@ -68,20 +68,17 @@ COPY_RULES = {
 def copies(service: Column, usage_type: Column) -> Column:
     """How many times AWS keeps a stored byte; the first rule that applies.
 
-    The rules are a constant map from service to its list, and only the places of
-    the longest list are tried. As a chain of conditions over all services they
-    would make up most of the generated code of a plan, and push it past the size
-    that the JVM compiles; a lambda would leave generated code.
+    The rules are data to one small lambda. A projection with a lambda is a stage of its
+    own, of small methods; as a chain of conditions the rules would make up much of the
+    one method that Spark generates for a plan, and push it past the size that the JVM
+    compiles. So this belongs into a projection ahead of the joins.
     """
     entries = []
     for name, rules in COPY_RULES.items():
         pairs = [F.struct(F.lit(text).alias("text"), F.lit(COPIES[factor]).alias("copies")) for text, factor in rules]
         entries += [F.lit(name), F.array(*pairs)]
-    rules, chain = F.create_map(*entries)[service], F
-    for place in range(max(map(len, COPY_RULES.values()))):
-        rule = F.get(rules, F.lit(place))
-        chain = chain.when(usage_type.contains(rule["text"]), rule["copies"])
-    return chain.otherwise(F.lit(COPIES["DEFAULT"]))
+    fits = F.filter(F.create_map(*entries)[service], lambda rule: usage_type.contains(rule["text"]))
+    return F.coalesce(F.get(fits, F.lit(0))["copies"], F.lit(COPIES["DEFAULT"]))
 
 
 def per_gb_hour(wh_per_tb_hour: float) -> Column:
@@ -93,18 +90,25 @@ def stored_energy(gb_hours: Column, per_gb: Column, replication: Column) -> Colu
     return gb_hours / F.lit(1000.0) * per_gb * replication
 
 
-def aws_energy(
+def aws_rate(
     operation: Column,
     unit: Column,
     usage_type: Column,
     service: Column,
-    amount: Column,
     hdd: float = HDD_WH_PER_TB_HOUR,
     ssd: float = SSD_WH_PER_TB_HOUR,
-) -> Column:
+) -> dict[str, Column]:
+    """Wh per GB and hour, and copies, of an AWS storage line; NULL for others."""
+    stored = unit.isin(parse_list(fixed.STORAGE_UNITS))
+    return {
+        "_per_gb": by_media(operation, unit, usage_type, service, per_gb_hour(ssd), per_gb_hour(hdd)),
+        "_copies": F.when(stored, copies(service, usage_type)),
+    }
+
+
+def aws_energy(unit: Column, amount: Column, per_gb: Column, replication: Column) -> Column:
     gb_hours = F.when(unit == "GB-Hours", amount).otherwise(gb_month_hours(amount))
-    per_gb = by_media(operation, unit, usage_type, service, per_gb_hour(ssd), per_gb_hour(hdd))
-    return stored_energy(gb_hours, per_gb, copies(service, usage_type))
+    return stored_energy(gb_hours, per_gb, replication)
 
 
 def _by_unit(unit: Column, units: dict[str, int]) -> Column:

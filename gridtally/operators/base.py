@@ -75,10 +75,12 @@ class Operator:
     """An enrichment step: a function from frame to frame with declared columns.
 
     ``needs`` gives the physical input columns for a provider and layout;
-    ``adds`` the result columns. ``prepare`` joins what the step looks up. A plan
-    prepares all its steps before it applies any: with the joins in one run and
-    nothing but projections after them, Catalyst merges those into very few,
-    and a wide row is copied few times. User-defined operators are built the
+    ``adds`` the result columns. ``classify`` tells by rules what a line is, and
+    ``prepare`` joins what the step looks up. A plan classifies for all its steps,
+    then prepares all, before it applies any. So the rules are one projection, whose
+    code is apart from the rest; and with the joins in one run and nothing but
+    projections after them, Catalyst merges those into very few, and a wide row is
+    copied few times. User-defined operators are built the
     same way from DataFrame functions.
     """
 
@@ -88,10 +90,11 @@ class Operator:
     apply: Apply
     prepare: Apply = lambda df, run: df
     types: Mapping[str, str] = field(default_factory=lambda: {**C.FOCUS_TYPES, **C.IMPACT_TYPES})
+    classify: Apply = lambda df, run: df
 
     def __call__(self, df: DataFrame, run: Run) -> DataFrame:
         """The step on its own, outside a plan."""
-        return self.apply(self.prepare(df, run), run)
+        return self.apply(self.prepare(self.classify(df, run), run), run)
 
     def type_of(self, column: str) -> str:
         return self.types.get(column) or {**C.FOCUS_TYPES, **C.IMPACT_TYPES}.get(column, "string")

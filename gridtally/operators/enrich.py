@@ -42,15 +42,19 @@ region = Operator("region", _region_needs, (C.REGION,), lambda df, run: df, _reg
 # --- energy -----------------------------------------------------------------
 
 
+def _rates(run: Run) -> tuple[float, float]:
+    return (
+        run.param("hdd_coefficient_tb_h", storage.HDD_WH_PER_TB_HOUR),
+        run.param("ssd_coefficient_tb_h", storage.SSD_WH_PER_TB_HOUR),
+    )
+
+
 def _storage(df: DataFrame, run: Run) -> DataFrame:
-    hdd = run.param("hdd_coefficient_tb_h", storage.HDD_WH_PER_TB_HOUR)
-    ssd = run.param("ssd_coefficient_tb_h", storage.SSD_WH_PER_TB_HOUR)
+    hdd, ssd = _rates(run)
     amount, unit = run.amount(), run.col("unit")
     if run.provider == C.AWS:
-        energy = storage.aws_energy(
-            run.col("operation"), unit, run.col("usage_type"), run.col("service_code"), amount, hdd, ssd
-        )
-        return run.put(df, **{C.ENERGY: energy})
+        energy = storage.aws_energy(unit, amount, F.col("_per_gb"), F.col("_copies"))
+        return run.put(df, **{C.ENERGY: energy}).drop("_per_gb", "_copies")
     category, meter = run.col("category"), run.col("meter")
     energy = F.coalesce(
         storage.azure_capacity_energy(category, meter, unit, amount, ssd),
@@ -59,6 +63,14 @@ def _storage(df: DataFrame, run: Run) -> DataFrame:
     return run.put(df, **{C.ENERGY: energy}).drop("_disk_gb", "_disk_media")
 
 
+def _storage_rules(df: DataFrame, run: Run) -> DataFrame:
+    """Rates by rules; in the last projection they would make its method too large."""
+    if run.provider == C.AWS:
+        line = (run.col("operation"), run.col("unit"), run.col("usage_type"), run.col("service_code"))
+        return df.withColumns(storage.aws_rate(*line, *_rates(run)))
+    return df
+
+
 def _storage_lookup(df: DataFrame, run: Run) -> DataFrame:
     if run.provider == C.AWS:
         return df
@@ -72,6 +84,7 @@ storage_energy = Operator(
     (C.ENERGY,),
     _storage,
     _storage_lookup,
+    classify=_storage_rules,
 )
 
 
@@ -86,19 +99,13 @@ def transfer_scope(df: DataFrame, run: Run, of: network.Scopes | None = None) ->
 
 
 def _network(df: DataFrame, run: Run) -> DataFrame:
-    given = run.params.get("network_coefficients_kwh_gb") or {}
-    rates = network.rates(**{k: float(v) for k, v in given.items() if v is not None})
-    if "_transfer" in df.columns:
-        scope = network.aws_scope(run.col("service_code"), F.col("_transfer"), rates)
-        return run.put(df, **{C.ENERGY: run.amount() * scope}).drop("_transfer")
-    return run.put(df, **{C.ENERGY: run.amount() * transfer_scope(df, run, rates)})
+    return run.put(df, **{C.ENERGY: run.amount() * F.col("_kwh_per_gb")}).drop("_kwh_per_gb")
 
 
-def _network_lookup(df: DataFrame, run: Run) -> DataFrame:
-    """The transfer type is read out of its map once, not once per rule."""
-    if "product" not in C.binding(run.provider, run.layout):
-        return df
-    return df.withColumn("_transfer", map_value(df, run.name("product"), "transfer_type"))
+def _network_rules(df: DataFrame, run: Run) -> DataFrame:
+    given = run.params.get("network_coefficients_kwh_gb") or {}
+    rates = network.rates(**{k: float(v) for k, v in given.items() if v is not None})
+    return df.withColumn("_kwh_per_gb", transfer_scope(df, run, rates))
 
 
 def _network_needs(provider: str, layout: str) -> list[str]:
@@ -108,7 +115,7 @@ def _network_needs(provider: str, layout: str) -> list[str]:
     return bound("service_code", usage, "amount")(provider, layout)
 
 
-network_energy = Operator("network", _network_needs, (C.ENERGY,), _network, _network_lookup)
+network_energy = Operator("network", _network_needs, (C.ENERGY,), _network, classify=_network_rules)
 
 
 def raw_instance_type(run: Run) -> Column:
@@ -133,9 +140,13 @@ def _given(dim: Dim, step: str, method: str) -> None:
         raise ContractError(f"operator {step} needs a table of coefficients: give it by Factors.{method}")
 
 
+def _compute_rules(df: DataFrame, run: Run) -> DataFrame:
+    return df.withColumn("_vm_type", instance_type(run))
+
+
 def _compute_lookup(df: DataFrame, run: Run) -> DataFrame:
     _given(run.factors.compute, "compute", "with_compute")
-    return lookup(df, run.factors.compute, instance_type(run), "instance_type", "_vm_")
+    return lookup(df, run.factors.compute, F.col("_vm_type"), "instance_type", "_vm_").drop("_vm_type")
 
 
 def _compute(df: DataFrame, run: Run) -> DataFrame:
@@ -157,30 +168,39 @@ def _compute_needs(provider: str, layout: str) -> list[str]:
     return bound(kind, "service_code", "operation", "product_code", "amount")(provider, layout)
 
 
-compute_impacts = Operator("compute", _compute_needs, (C.ENERGY, C.EMBODIED, C.DEPLETION), _compute, _compute_lookup)
+compute_impacts = Operator("compute", _compute_needs, (C.ENERGY, C.EMBODIED, C.DEPLETION), _compute, _compute_lookup, classify=_compute_rules)
 
 
-def _serverless(df: DataFrame, run: Run) -> DataFrame:
-    energy = compute.serverless_energy(
+def _serverless_rules(df: DataFrame, run: Run) -> DataFrame:
+    rate = compute.serverless_rate(
         run.col("operation"),
         run.col("usage_type"),
-        run.amount(),
         run.param("memory_coefficient_kwh", compute.MEMORY_KWH),
         run.param("x86_cpu_coefficient_kwh", compute.X86_KWH),
         run.param("arm_cpu_coefficient_kwh", compute.ARM_KWH),
     )
-    return run.put(df, **{C.ENERGY: energy})
+    return df.withColumn("_kwh_per_unit", rate)
+
 
+def _serverless(df: DataFrame, run: Run) -> DataFrame:
+    return run.put(df, **{C.ENERGY: run.amount() * F.col("_kwh_per_unit")}).drop("_kwh_per_unit")
 
-serverless_energy = Operator("serverless", bound("operation", "amount", "usage_type"), (C.ENERGY,), _serverless)
 
+serverless_energy = Operator(
+    "serverless", bound("operation", "amount", "usage_type"), (C.ENERGY,), _serverless, classify=_serverless_rules
+)
 
-def _gpu_lookup(df: DataFrame, run: Run) -> DataFrame:
+
+def _gpu_rules(df: DataFrame, run: Run) -> DataFrame:
     kind = compute.gpu_type(run.col("product_code"), run.col("operation"), raw_instance_type(run))
+    return df.withColumn("_gpu_type", kind)
+
+
+def _gpu_lookup(df: DataFrame, run: Run) -> DataFrame:
     percent = run.param("gpu_utilisation_percent", compute.GPU_UTILISATION_PERCENT)
     watts = compute.gpu_watts(F.col("idle_w"), F.col("full_w"), percent)
     gpus = Dim(run.factors.gpu.frame.select("instance_type", watts.alias("watts"), "gpus"), run.factors.gpu.small)
-    return lookup(df, gpus, kind, "instance_type", "_gpu_")
+    return lookup(df, gpus, F.col("_gpu_type"), "instance_type", "_gpu_").drop("_gpu_type")
 
 
 def _gpu(df: DataFrame, run: Run) -> DataFrame:
@@ -197,13 +217,16 @@ def _gpu_needs(provider: str, layout: str) -> list[str]:
     return bound(kind, "operation", "product_code", "amount")(provider, layout)
 
 
-gpu_energy = Operator("gpu", _gpu_needs, (C.ENERGY,), _gpu, _gpu_lookup)
+gpu_energy = Operator("gpu", _gpu_needs, (C.ENERGY,), _gpu, _gpu_lookup, classify=_gpu_rules)
+
+
+def _token_rules(df: DataFrame, run: Run) -> DataFrame:
+    return df.withColumn("_tok_label_of", tokens.output_label(run.col("product_code"), run.col("usage_type")))
 
 
 def _token_lookup(df: DataFrame, run: Run) -> DataFrame:
     _given(run.factors.tokens, "tokens", "with_tokens")
-    label = tokens.output_label(run.col("product_code"), run.col("usage_type"))
-    df = lookup(df, run.factors.token_dim(), label, "label", "_tok_")
+    df = lookup(df, run.factors.token_dim(), F.col("_tok_label_of"), "label", "_tok_").drop("_tok_label_of")
     billed = F.when(F.col("_tok_kwh_per_1k").isNotNull(), tokens.thousands(run.col("unit"), run.amount()))
     return df.withColumn("_thousands", billed)
 
@@ -220,7 +243,8 @@ def _tokens(df: DataFrame, run: Run) -> DataFrame:
 
 
 token_impacts = Operator(
-    "tokens", bound("product_code", "amount", "unit", "usage_type"), (C.ENERGY, C.EMBODIED), _tokens, _token_lookup
+    "tokens", bound("product_code", "amount", "unit", "usage_type"), (C.ENERGY, C.EMBODIED), _tokens, _token_lookup,
+    classify=_token_rules,
 )
 
 

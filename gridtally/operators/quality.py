@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.factors.tables import Dim
-from gridtally.functions.common import exact_sum
+from gridtally.functions.sums import exact_sums
 
 
 def lookup_gaps(df: DataFrame, key: Column, cost: Column, known: Dim, known_key: str) -> DataFrame:
@@ -17,12 +17,8 @@ def lookup_gaps(df: DataFrame, key: Column, cost: Column, known: Dim, known_key:
     Usage is summed by key before the anti join, so only distinct keys meet the
     factor table.
     """
-    seen = (
-        df.select(key.alias("key"), cost.alias("cost"))
-        .where(F.col("key").isNotNull())
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("lines"), exact_sum(F.col("cost")).alias("cost"))
-    )
+    keyed = df.select(key.alias("key"), cost.alias("cost")).where(F.col("key").isNotNull())
+    seen = exact_sums(keyed, "key", also=[F.count(F.lit(1)).alias("lines")], cost=F.col("cost"))
     keys = known.frame.select(F.col(known_key).alias("key"))
     return seen.join(F.broadcast(keys) if known.small else keys, "key", "left_anti")
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtally import columns as C
-from gridtally.functions.common import exact_sum
+from gridtally.functions.common import zero_if_null
+from gridtally.functions.sums import Sums
 from gridtally.operators.base import ContractError
 from gridtally.session import written_once
 
@@ -50,15 +51,15 @@ def group_totals(df: DataFrame, impacts: Sequence[str] = DEFAULT_IMPACTS) -> Dat
     Rows are summed on the map side first, so a resource that holds a large
     part of all rows still sends one row per task to the shuffle.
     """
-    sums = [F.coalesce(exact_sum(number(name)), F.lit(0.0)).alias(name) for name in impacts]
-    return (
-        df.groupBy(F.col(INTERVAL).alias("interval"), owner().alias("owner"))
-        .agg(
-            *sums,
-            F.coalesce(exact_sum(number(RATIO)), F.lit(0.0)).alias("ratio"),
-            F.count_if(~is_parent()).alias("children"),
-        )
+    sums = Sums()
+    added = {name: zero_if_null(sums.of(number(column))) for name, column in [*zip(impacts, impacts), ("ratio", RATIO)]}
+    groups = sums.by(
+        df,
+        F.col(INTERVAL).alias("interval"),
+        owner().alias("owner"),
+        also=[F.count_if(~is_parent()).alias("children")],
     )
+    return groups.select("interval", "owner", *[value.alias(name) for name, value in added.items()], "children")
 
 
 def allocate_splits(

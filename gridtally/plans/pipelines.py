@@ -120,6 +120,8 @@ class Plan:
         seeded = df.select(*base, *nulls, *gate)
         placed = any(op is ops.region for op, _ in self.steps)
         run = Run(self.provider, self.layout, factors, F.col(GATE), placed)
+        for op, params in self.steps:
+            seeded = op.classify(seeded, replace(run, params=params))
         for op, params in self.steps:
             seeded = op.prepare(seeded, replace(run, params=params))
         for op, params in self.steps:

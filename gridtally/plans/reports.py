@@ -17,14 +17,13 @@ from pyspark.sql import types as T
 from gridtally import columns as C
 from gridtally.functions.common import (
     blank_to_null,
-    exact_avg,
-    exact_sum,
     present,
     rounded,
     tags_as_map,
     usage_charge,
     zero_if_null,
 )
+from gridtally.functions.sums import Sums, exact_sums
 from gridtally.session import written_once
 
 INSTANCE_IN_METER = r":((?:[a-z][a-z0-9-]*\.)+[a-z0-9]+)$"
@@ -32,21 +31,18 @@ TOP = 20
 TAG_CHART_ROWS = 40
 
 
-def total(name: str, only: Column | None = None) -> Column:
-    return exact_sum(F.col(name), only)
+class Measures(Sums):
+    """Exact sums under the names that reports ask for."""
 
+    def kg(self, name: str, only: Column | None = None) -> Column:
+        return self.total(name, only) / F.lit(1000.0)
 
-def kg(name: str, only: Column | None = None) -> Column:
-    return total(name, only) / F.lit(1000.0)
+    def water(self, only: Column | None = None) -> Column:
+        return zero_if_null(self.total(C.WATER_COOLING, only)) + zero_if_null(self.total(C.WATER_ELECTRICITY, only))
 
-
-def water(only: Column | None = None) -> Column:
-    return zero_if_null(total(C.WATER_COOLING, only)) + zero_if_null(total(C.WATER_ELECTRICITY, only))
-
-
-def all_emissions_kg(only: Column | None = None) -> Column:
-    grams = zero_if_null(total(C.OPERATIONAL, only)) + zero_if_null(total(C.EMBODIED, only))
-    return grams / F.lit(1000.0)
+    def all_emissions_kg(self, only: Column | None = None) -> Column:
+        grams = zero_if_null(self.total(C.OPERATIONAL, only)) + zero_if_null(self.total(C.EMBODIED, only))
+        return grams / F.lit(1000.0)
 
 
 def show(**values: Column) -> list[Column]:
@@ -93,49 +89,43 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def summary_by_period(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy(C.BILLING_PERIOD)
-        .agg(
-            *show(
-                energy_kwh=total(C.ENERGY),
-                operational_kg=kg(C.OPERATIONAL),
-                embodied_kg=kg(C.EMBODIED),
-                water_usage_l=water(),
-            )
-        )
-        .orderBy(F.asc_nulls_last(C.BILLING_PERIOD))
+    sums = Measures()
+    shown = show(
+        energy_kwh=sums.total(C.ENERGY),
+        operational_kg=sums.kg(C.OPERATIONAL),
+        embodied_kg=sums.kg(C.EMBODIED),
+        water_usage_l=sums.water(),
     )
+    by_period = sums.by(df, C.BILLING_PERIOD).select(C.BILLING_PERIOD, *shown)
+    return by_period.orderBy(F.asc_nulls_last(C.BILLING_PERIOD))
 
 
 def with_total(summary: DataFrame, label: str = "TOTAL") -> DataFrame:
     """Add a line summing the shown values, as a reader of the table would."""
-    is_total = F.grouping(C.BILLING_PERIOD) == 1
-    measures = [
-        F.when(is_total, rounded(zero_if_null(exact_sum(F.col(m))))).otherwise(F.max(m)).alias(m)
-        for m in summary.columns
-        if m != C.BILLING_PERIOD
-    ]
-    lines = summary.rollup(C.BILLING_PERIOD).agg(is_total.alias("_total"), *measures)
-    named_total = F.when(F.col("_total"), F.lit(label)).otherwise(F.col(C.BILLING_PERIOD))
+    sums, names = Measures(), [m for m in summary.columns if m != C.BILLING_PERIOD]
+    is_total = F.col("_total")
+    measures = [F.when(is_total, rounded(zero_if_null(sums.total(m)))).otherwise(F.col(f"_own_{m}")).alias(m) for m in names]
+    also = [(F.grouping(C.BILLING_PERIOD) == 1).alias("_total"), *[F.max(m).alias(f"_own_{m}") for m in names]]
+    lines = sums.by(summary, C.BILLING_PERIOD, also=also, rollup=True)
+    named_total = F.when(is_total, F.lit(label)).otherwise(F.col(C.BILLING_PERIOD)).alias(C.BILLING_PERIOD)
     return (
-        lines.withColumn(C.BILLING_PERIOD, named_total)
+        lines.select(named_total, *measures, "_total")
         .orderBy("_total", F.asc_nulls_last(C.BILLING_PERIOD))
         .drop("_total")
     )
 
 
 def top_services(df: DataFrame, n: int = TOP) -> DataFrame:
+    sums = Measures()
+    shown = show(
+        co2_usage_kg=sums.kg(C.OPERATIONAL),
+        energy_kwh=sums.total(C.ENERGY),
+        co2_embodied_kg=sums.kg(C.EMBODIED),
+        water_usage_l=sums.water(),
+    )
     return (
-        df.where(covered())
-        .groupBy("ServiceName")
-        .agg(
-            *show(
-                co2_usage_kg=kg(C.OPERATIONAL),
-                energy_kwh=total(C.ENERGY),
-                co2_embodied_kg=kg(C.EMBODIED),
-                water_usage_l=water(),
-            )
-        )
+        sums.by(df.where(covered()), "ServiceName")
+        .select("ServiceName", *shown)
         .orderBy(
             F.desc_nulls_last("co2_usage_kg"),
             F.desc_nulls_last("co2_embodied_kg"),
@@ -148,15 +138,12 @@ def top_services(df: DataFrame, n: int = TOP) -> DataFrame:
 
 def top_instance_types(df: DataFrame, n: int = TOP) -> DataFrame:
     kind = F.regexp_extract("SkuMeter", INSTANCE_IN_METER, 1)
+    sums = Measures()
+    shown = show(co2_usage_kg=sums.kg(C.OPERATIONAL), co2_embodied_kg=sums.kg(C.EMBODIED), water_usage_l=sums.water())
+    typed = df.withColumn("instance_type", kind).where(present(F.col("instance_type")))
     return (
-        df.withColumn("instance_type", kind)
-        .where(present(F.col("instance_type")))
-        .groupBy("instance_type")
-        .agg(
-            *show(
-                co2_usage_kg=kg(C.OPERATIONAL), co2_embodied_kg=kg(C.EMBODIED), water_usage_l=water()
-            )
-        )
+        sums.by(typed, "instance_type")
+        .select("instance_type", *shown)
         .orderBy(F.desc_nulls_last("co2_usage_kg"), "instance_type")
         .limit(n)
     )
@@ -164,55 +151,41 @@ def top_instance_types(df: DataFrame, n: int = TOP) -> DataFrame:
 
 def cost_coverage(df: DataFrame, cost: str = "BilledCost", charge: str = "ChargeCategory") -> DataFrame:
     """Share of usage cost that has emissions; columns may be native ones."""
-    sums = df.where(usage_charge(charge)).agg(
-        total(cost).alias("_all"), total(cost, covered()).alias("_covered")
-    )
-    return sums.select(
-        *show(
-            coverage_pct=F.try_divide(F.col("_covered") * F.lit(100.0), F.col("_all")),
-            covered_cost=F.col("_covered"),
-            total_cost=F.col("_all"),
-        )
-    )
+    sums = Measures()
+    everything, part = sums.total(cost), sums.total(cost, covered())
+    pct = F.try_divide(part * F.lit(100.0), everything)
+    shown = show(coverage_pct=pct, covered_cost=part, total_cost=everything)
+    return sums.by(df.where(usage_charge(charge))).select(*shown)
 
 
 def uncovered_services(df: DataFrame, n: int = TOP) -> DataFrame:
+    sums = Measures()
+    shown = show(cost=sums.total("BilledCost"))
     return (
-        df.where(usage_charge() & ~covered())
-        .groupBy("ServiceName")
-        .agg(*show(cost=total("BilledCost")))
+        sums.by(df.where(usage_charge() & ~covered()), "ServiceName")
+        .select("ServiceName", *shown)
         .orderBy(F.desc_nulls_last("cost"), F.asc_nulls_last("ServiceName"))
         .limit(n)
     )
 
 
 def regional_report(df: DataFrame, list_cost: str = "ListCost") -> DataFrame:
-    sums = (
-        df.where(covered())
-        .groupBy(C.REGION)
-        .agg(
-            total(C.OPERATIONAL).alias("_op"),
-            total(C.EMBODIED).alias("_em"),
-            total(C.ENERGY).alias("_kwh"),
-            total(list_cost).alias("_cost"),
-            exact_avg(F.col(C.INTENSITY)).alias("_ci"),
-            exact_avg(F.col(C.PUE)).alias("_pue"),
-            water().alias("_water"),
-            zero_if_null(total(C.WATER_STRESS)).alias("_scarce"),
-        )
+    sums = Measures()
+    (intensity, with_intensity), (pue, with_pue) = sums.mean(C.INTENSITY), sums.mean(C.PUE)
+    grams = sums.total(C.OPERATIONAL) + sums.total(C.EMBODIED)
+    shown = show(
+        co2_usage_kg=sums.kg(C.OPERATIONAL),
+        energy_kwh=sums.total(C.ENERGY),
+        carbon_intensity=intensity,
+        water_usage_l=sums.water(),
+        water_stress_area_l=zero_if_null(sums.total(C.WATER_STRESS)),
+        pue=pue,
+        g_co2_per_dollar=F.try_divide(grams, sums.total(list_cost)),
+    )
+    by_region = sums.by(df.where(covered()), C.REGION, also=[with_intensity, with_pue]).select(C.REGION, *shown)
+    return by_region.orderBy(
+        F.desc_nulls_last("energy_kwh"), F.desc_nulls_last("co2_usage_kg"), F.desc_nulls_last(C.REGION)
     )
-    return sums.select(
-        C.REGION,
-        *show(
-            co2_usage_kg=F.col("_op") / F.lit(1000.0),
-            energy_kwh=F.col("_kwh"),
-            carbon_intensity=F.col("_ci"),
-            water_usage_l=F.col("_water"),
-            water_stress_area_l=F.col("_scarce"),
-            pue=F.col("_pue"),
-            g_co2_per_dollar=F.try_divide(F.col("_op") + F.col("_em"), F.col("_cost")),
-        ),
-    ).orderBy(F.desc_nulls_last("energy_kwh"), F.desc_nulls_last("co2_usage_kg"), F.desc_nulls_last(C.REGION))
 
 
 # --- interactive views -------------------------------------------------------------------
@@ -226,37 +199,42 @@ def overview(df: DataFrame, periods: Sequence[str] = (), regions: Sequence[str]
     """
     chosen = F.coalesce(scope(periods, regions), F.lit(False))
     used = chosen & usage_charge()
-    sums = df.agg(
-        F.count_if(chosen).alias("row_count"),
-        *show(
-            total_cost=zero_if_null(total("BilledCost", used)),
-            energy_kwh=zero_if_null(total(C.ENERGY, used)),
-            operational_kg=zero_if_null(kg(C.OPERATIONAL, used)),
-            embodied_kg=zero_if_null(kg(C.EMBODIED, used)),
-            total_emissions_kg=all_emissions_kg(used),
-            water_l=water(used),
-        ),
-        total("BilledCost", usage_charge()).alias("_cost"),
-        total("BilledCost", usage_charge() & covered()).alias("_covered"),
+    sums = Measures()
+    part = sums.total("BilledCost", usage_charge() & covered())
+    shown = show(
+        total_cost=zero_if_null(sums.total("BilledCost", used)),
+        energy_kwh=zero_if_null(sums.total(C.ENERGY, used)),
+        operational_kg=zero_if_null(sums.kg(C.OPERATIONAL, used)),
+        embodied_kg=zero_if_null(sums.kg(C.EMBODIED, used)),
+        total_emissions_kg=sums.all_emissions_kg(used),
+        water_l=sums.water(used),
+        coverage_pct=F.try_divide(part * F.lit(100.0), sums.total("BilledCost", usage_charge())),
     )
-    pct = F.try_divide(F.col("_covered") * F.lit(100.0), F.col("_cost"))
-    return sums.withColumn("coverage_pct", rounded(pct)).drop("_cost", "_covered")
+    return sums.by(df, also=[F.count_if(chosen).alias("row_count")]).select("row_count", *shown)
 
 
-def usage_measures() -> list[Column]:
+def usage_measures(sums: Measures) -> list[Column]:
     used = usage_charge()
     return show(
-        total_cost=total("BilledCost", used),
-        energy_kwh=total(C.ENERGY, used),
-        operational_kg=kg(C.OPERATIONAL, used),
-        embodied_kg=kg(C.EMBODIED, used),
-        total_emissions_kg=all_emissions_kg(used),
-        water_usage_l=water(used),
+        total_cost=sums.total("BilledCost", used),
+        energy_kwh=sums.total(C.ENERGY, used),
+        operational_kg=sums.kg(C.OPERATIONAL, used),
+        embodied_kg=sums.kg(C.EMBODIED, used),
+        total_emissions_kg=sums.all_emissions_kg(used),
+        water_usage_l=sums.water(used),
     )
 
 
+def usage_by(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """Usage cost and impacts by any keys."""
+    sums = Measures()
+    shown = usage_measures(sums)
+    added = sums.by(df, *keys)
+    return added.select(*added.columns[: len(keys)], *shown)
+
+
 def trend(df: DataFrame) -> DataFrame:
-    return df.groupBy(C.BILLING_PERIOD).agg(*usage_measures()).orderBy(F.asc_nulls_last(C.BILLING_PERIOD))
+    return usage_by(df, C.BILLING_PERIOD).orderBy(F.asc_nulls_last(C.BILLING_PERIOD))
 
 
 def named(column: str, fallback: str) -> Column:
@@ -265,12 +243,11 @@ def named(column: str, fallback: str) -> Column:
 
 def top_emitters(df: DataFrame, n: int = 10) -> DataFrame:
     return (
-        df.where(covered())
-        .groupBy(
+        usage_by(
+            df.where(covered()),
             named("ServiceName", "Unknown service").alias("service_name"),
             named(C.REGION, "Unknown region").alias("region"),
         )
-        .agg(*usage_measures())
         .withColumnsRenamed({"operational_kg": "co2_usage_kg", "embodied_kg": "co2_embodied_kg"})
         .orderBy(
             F.desc_nulls_last("total_emissions_kg"),
@@ -288,15 +265,12 @@ def top_emitter_totals(emitters: DataFrame) -> DataFrame:
     first = F.struct(
         F.col("total_emissions_kg"), F.col("co2_usage_kg"), F.col("energy_kwh"), F.col("service_name"), F.col("region")
     )
-    return emitters.agg(
-        F.count(F.lit(1)).alias("listed"),
-        rounded(exact_sum(F.col("co2_usage_kg"))).alias("co2_usage_kg"),
-        rounded(exact_sum(F.col("total_cost"))).alias("total_cost"),
-        F.max(first).alias("_first"),
-    ).select(
+    sums = Measures()
+    shown = show(co2_usage_kg=sums.total("co2_usage_kg"), total_cost=sums.total("total_cost"))
+    added = sums.by(emitters, also=[F.count(F.lit(1)).alias("listed"), F.max(first).alias("_first")])
+    return added.select(
         "listed",
-        "co2_usage_kg",
-        "total_cost",
+        *shown,
         F.col("_first.service_name").alias("largest_emitter"),
         F.col("_first.total_emissions_kg").alias("largest_kg"),
     )
@@ -304,30 +278,28 @@ def top_emitter_totals(emitters: DataFrame) -> DataFrame:
 
 def regions_weighted(df: DataFrame) -> DataFrame:
     """By region, with intensity and PUE weighted by the energy they apply to."""
-    used = usage_charge()
+    used, sums = usage_charge(), Measures()
     energy = F.col(C.ENERGY)
 
     def weighted(name: str) -> Column:
         both = used & energy.isNotNull() & F.col(name).isNotNull()
-        return F.try_divide(exact_sum(energy * F.col(name), both), exact_sum(energy, both))
-
-    grams = zero_if_null(total(C.OPERATIONAL, used)) + zero_if_null(total(C.EMBODIED, used))
+        return F.try_divide(sums.of(energy * F.col(name), both), sums.of(energy, both))
+
+    grams = zero_if_null(sums.total(C.OPERATIONAL, used)) + zero_if_null(sums.total(C.EMBODIED, used))
+    shown = show(
+        co2_usage_kg=zero_if_null(sums.kg(C.OPERATIONAL, used)),
+        co2_embodied_kg=zero_if_null(sums.kg(C.EMBODIED, used)),
+        total_emissions_kg=sums.all_emissions_kg(used),
+        energy_kwh=zero_if_null(sums.total(C.ENERGY, used)),
+        carbon_intensity=weighted(C.INTENSITY),
+        water_usage_l=sums.water(used),
+        water_stress_area_l=zero_if_null(sums.total(C.WATER_STRESS, used)),
+        pue=weighted(C.PUE),
+        g_co2_per_dollar=F.try_divide(grams, sums.total("BilledCost", used)),
+    )
     return (
-        df.where(covered())
-        .groupBy(named(C.REGION, "Unknown region").alias("region_name"))
-        .agg(
-            *show(
-                co2_usage_kg=zero_if_null(kg(C.OPERATIONAL, used)),
-                co2_embodied_kg=zero_if_null(kg(C.EMBODIED, used)),
-                total_emissions_kg=all_emissions_kg(used),
-                energy_kwh=zero_if_null(total(C.ENERGY, used)),
-                carbon_intensity=weighted(C.INTENSITY),
-                water_usage_l=water(used),
-                water_stress_area_l=zero_if_null(total(C.WATER_STRESS, used)),
-                pue=weighted(C.PUE),
-                g_co2_per_dollar=F.try_divide(grams, total("BilledCost", used)),
-            )
-        )
+        sums.by(df.where(covered()), named(C.REGION, "Unknown region").alias("region_name"))
+        .select("region_name", *shown)
         .withColumnRenamed("region_name", C.REGION)
         .orderBy(F.desc_nulls_last("total_emissions_kg"), F.desc_nulls_last("energy_kwh"), C.REGION)
     )
@@ -336,7 +308,7 @@ def regions_weighted(df: DataFrame) -> DataFrame:
 def region_share(regions: DataFrame) -> DataFrame:
     """Each region's percentage of all emissions, from :func:`regions_weighted`."""
     regions = written_once(regions, "regions")
-    everything = regions.agg(exact_sum(F.col("total_emissions_kg")).alias("kg"))
+    everything = exact_sums(regions, kg=F.col("total_emissions_kg"))
     share = F.try_divide(F.col("total_emissions_kg") * F.lit(100.0), everything.scalar())
     return regions.select(C.REGION, "total_emissions_kg", rounded(share).alias("share_pct"))
 
@@ -385,29 +357,21 @@ def tag_value(df: DataFrame, key: str) -> Column:
 
 def tag_breakdown(df: DataFrame, key: str) -> DataFrame:
     """Impacts by value of a tag; lines without the tag form a NULL group."""
-    return (
-        df.groupBy(tag_value(df, key).alias("tag_value"))
-        .agg(
-            *show(
-                energy_kwh=total(C.ENERGY),
-                operational_kg=kg(C.OPERATIONAL),
-                embodied_kg=kg(C.EMBODIED),
-                water_usage_l=water(),
-            )
-        )
-        .orderBy(F.desc_nulls_last("operational_kg"), F.asc_nulls_last("tag_value"))
+    sums = Measures()
+    shown = show(
+        energy_kwh=sums.total(C.ENERGY),
+        operational_kg=sums.kg(C.OPERATIONAL),
+        embodied_kg=sums.kg(C.EMBODIED),
+        water_usage_l=sums.water(),
     )
+    by_value = sums.by(df, tag_value(df, key).alias("tag_value")).select("tag_value", *shown)
+    return by_value.orderBy(F.desc_nulls_last("operational_kg"), F.asc_nulls_last("tag_value"))
 
 
 def tag_breakdown_usage(df: DataFrame, key: str) -> DataFrame:
     """Usage cost and impacts by non-empty value of a tag."""
-    return (
-        df.withColumn("tag_value", tag_value(df, key))
-        .where(present(F.col("tag_value")))
-        .groupBy("tag_value")
-        .agg(*usage_measures())
-        .orderBy(F.desc_nulls_last("total_emissions_kg"), "tag_value")
-    )
+    tagged = df.withColumn("tag_value", tag_value(df, key)).where(present(F.col("tag_value")))
+    return usage_by(tagged, "tag_value").orderBy(F.desc_nulls_last("total_emissions_kg"), "tag_value")
 
 
 def top_with_other(rows: DataFrame, metric: str, limit: int = TAG_CHART_ROWS) -> DataFrame:
@@ -430,11 +394,13 @@ def top_with_other(rows: DataFrame, metric: str, limit: int = TAG_CHART_ROWS) ->
     listed = ranked.where((F.col("_n") <= limit) | (F.col("_rank") < limit)).drop("_rank", "_n")
     keys = F.broadcast(listed.select(F.col("tag_value").alias("_listed")))
     rest = rows.join(keys, F.col("tag_value").eqNullSafe(F.col("_listed")), "left_anti")
-    other = rest.agg(
+    sums = Measures()
+    added = [zero_if_null(sums.total(m)).alias(m) for m in measures]
+    other = sums.by(rest, also=[F.count(F.lit(1)).alias("_n")]).select(
         F.lit("(other)").alias("tag_value"),
-        F.concat(F.lit("Other ("), F.count(F.lit(1)).cast("string"), F.lit(" values)")).alias("label"),
-        *[zero_if_null(exact_sum(F.col(m))).alias(m) for m in measures],
-        F.count(F.lit(1)).alias("_n"),
+        F.concat(F.lit("Other ("), F.col("_n").cast("string"), F.lit(" values)")).alias("label"),
+        *added,
+        "_n",
     )
     label = (
         F.when(F.col("tag_value").isNull(), "(missing)").when(F.col("tag_value") == "", "(empty)")
@@ -449,16 +415,13 @@ def top_with_other(rows: DataFrame, metric: str, limit: int = TAG_CHART_ROWS) ->
 
 def breakdown(df: DataFrame, keys: Sequence[str], floor_g: float = 0.01) -> DataFrame:
     """Impacts of lines above a floor by any columns, such as product and operation."""
+    sums = Measures()
+    shown = show(
+        co2_usage_kg=sums.kg(C.OPERATIONAL), co2_embodied_kg=sums.kg(C.EMBODIED), energy_usage_kwh=sums.total(C.ENERGY)
+    )
     return (
-        df.where(F.col(C.OPERATIONAL) > floor_g)
-        .groupBy(*keys)
-        .agg(
-            *show(
-                co2_usage_kg=kg(C.OPERATIONAL),
-                co2_embodied_kg=kg(C.EMBODIED),
-                energy_usage_kwh=total(C.ENERGY),
-            )
-        )
+        sums.by(df.where(F.col(C.OPERATIONAL) > floor_g), *keys)
+        .select(*keys, *shown)
         .orderBy(
             F.desc_nulls_last("co2_usage_kg"),
             F.desc_nulls_last("co2_embodied_kg"),
@@ -470,10 +433,8 @@ def breakdown(df: DataFrame, keys: Sequence[str], floor_g: float = 0.01) -> Data
 
 def split_by_tag(df: DataFrame, key: str, tags: str = "resource_tags") -> DataFrame:
     """Shared emissions by value of a resource tag, such as a namespace."""
-    return (
-        df.select(F.lit(key).alias("key"), F.col(tags)[key].alias("value"), "split_" + C.OPERATIONAL, tags)
-        .where(F.array_contains(F.map_keys(tags), key))
-        .groupBy("key", "value")
-        .agg(exact_sum(F.col("split_" + C.OPERATIONAL)).alias("total_g"))
-        .orderBy(F.desc_nulls_last("total_g"), F.asc_nulls_last("value"))
+    tagged = df.select(F.lit(key).alias("key"), F.col(tags)[key].alias("value"), "split_" + C.OPERATIONAL, tags)
+    held = tagged.where(F.array_contains(F.map_keys(tags), key))
+    return exact_sums(held, "key", "value", total_g=F.col("split_" + C.OPERATIONAL)).orderBy(
+        F.desc_nulls_last("total_g"), F.asc_nulls_last("value")
     )

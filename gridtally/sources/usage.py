@@ -146,3 +146,17 @@ def write_usage(df: DataFrame, path: str) -> None:
     if C.BILLING_PERIOD in df.columns:
         writer = writer.partitionBy(C.BILLING_PERIOD)
     writer.parquet(path)
+
+
+def replace_periods(df: DataFrame, path: str, **options: str) -> None:
+    """Write the billing periods that a frame holds over those of a table; other periods stay.
+
+    ``path`` may be of any scheme that Hadoop has a file system for; ``options`` go to it.
+    Files are staged below the table and its periods change only once all tasks are
+    done, so a write that fails leaves the old rows. Periods are folders, which is all
+    that readers go by. To delete a period, remove its folder.
+    """
+    if C.BILLING_PERIOD not in df.columns:
+        raise ValueError(f"periods are replaced by column {C.BILLING_PERIOD}, which is missing")
+    writer = df.write.mode("overwrite").options(**options).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(C.BILLING_PERIOD).parquet(path)

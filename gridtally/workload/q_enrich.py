@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from gridtally import columns as C
 from gridtally.factors.tables import lookup
 from gridtally.functions import compute, storage, tokens
-from gridtally.functions.common import exact_sum, is_usage
+from gridtally.functions.common import is_usage
+from gridtally.functions.sums import exact_sums
 from gridtally.operators import enrich as ops
 from gridtally.operators.base import Operator, Run, bound
+from gridtally.plans.lineage import contracts
 from gridtally.plans.pipelines import Plan, enrich
 from gridtally.sources.usage import normalize_product
 from gridtally.workload import oracle as O
@@ -89,17 +91,14 @@ def usage_gate(spark, sf_dir):
     ),
 )
 def row_rebuild(spark, sf_dir):
-    return (
-        enriched(spark, sf_dir)
-        .groupBy(F.col("line_item_line_item_type").alias("charge"))
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.count(C.ENERGY).alias("with_energy"),
-            F.count(C.PUE).alias("with_pue"),
-            F.count(C.REGION).alias("with_region"),
-            exact_sum(F.col("line_item_unblended_cost")).alias("cost"),
-        )
-    )
+    counts = [
+        F.count(F.lit(1)).alias("lines"),
+        F.count(C.ENERGY).alias("with_energy"),
+        F.count(C.PUE).alias("with_pue"),
+        F.count(C.REGION).alias("with_region"),
+    ]
+    charge = F.col("line_item_line_item_type").alias("charge")
+    return exact_sums(enriched(spark, sf_dir), charge, also=counts, cost=F.col("line_item_unblended_cost"))
 
 
 # --- region ---------------------------------------------------------------------------
@@ -298,16 +297,9 @@ def compute_impacts_azure(spark, sf_dir):
 def join_compute_factor(spark, sf_dir):
     lines = partial(spark, sf_dir, C.AWS, C.NATIVE, ops.compute_impacts)
     kind = ops.instance_type(AWS_RUN)
-    return (
-        lines.where(kind.isNotNull())
-        .groupBy(kind.alias("vm_type"))
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.count(C.ENERGY).alias("modelled"),
-            exact_sum(F.col(C.ENERGY)).alias("kwh"),
-            exact_sum(F.col(C.EMBODIED)).alias("embodied_g"),
-        )
-    )
+    counts = [F.count(F.lit(1)).alias("lines"), F.count(C.ENERGY).alias("modelled")]
+    sums = {"kwh": F.col(C.ENERGY), "embodied_g": F.col(C.EMBODIED)}
+    return exact_sums(lines.where(kind.isNotNull()), kind.alias("vm_type"), also=counts, **sums)
 
 
 @query(
@@ -349,15 +341,8 @@ def gpu_energy(spark, sf_dir):
 def join_gpu(spark, sf_dir):
     kind = compute.gpu_type(AWS_RUN.col("product_code"), AWS_RUN.col("operation"), ops.raw_instance_type(AWS_RUN))
     lines = partial(spark, sf_dir, C.AWS, C.NATIVE, ops.gpu_energy)
-    return (
-        lines.where(kind.isNotNull())
-        .groupBy(kind.alias("instance_type"))
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.count(C.ENERGY).alias("modelled"),
-            exact_sum(F.col(C.ENERGY)).alias("kwh"),
-        )
-    )
+    counts = [F.count(F.lit(1)).alias("lines"), F.count(C.ENERGY).alias("modelled")]
+    return exact_sums(lines.where(kind.isNotNull()), kind.alias("instance_type"), also=counts, kwh=F.col(C.ENERGY))
 
 
 # --- generated text -----------------------------------------------------------------------------
@@ -624,3 +609,48 @@ def seed_null_columns(spark, sf_dir):
             F.count(C.ENERGY).alias("energies"),
         )
     )
+
+
+# --- contracts ----------------------------------------------------------------------
+
+#: Plans of landed reports: two sound ones, and one whose steps come in the wrong order.
+CONTRACT_PLANS = {
+    "aws": Plan.default(C.AWS),
+    "azure": Plan.default(C.AZURE),
+    "backwards": Plan(C.AWS, C.NATIVE, tuple(reversed(Plan.default(C.AWS).steps))),
+}
+
+
+def _contract_columns() -> list[str]:
+    needed = {c for plan in CONTRACT_PLANS.values() for op, _ in plan.steps for c in op.needs(plan.provider, plan.layout)}
+    return sorted(needed - {c for plan in CONTRACT_PLANS.values() for op, _ in plan.steps for c in op.adds})
+
+
+def _contract_sql() -> str:
+    steps = [(name, n, op, plan) for name, plan in CONTRACT_PLANS.items() for n, (op, _) in enumerate(plan.steps)]
+    needs = [(name, n, op.name, c) for name, n, op, plan in steps for c in op.needs(plan.provider, plan.layout)]
+    adds = [(name, n, op.name, c) for name, n, op, _ in steps for c in op.adds]
+    return O.with_(
+        O.values("needs", "plan, step_no, step, needed", needs),
+        O.values("adds", "plan, step_no, step, added", adds),
+        O.values("places", "name, place", [(c, n) for n, c in enumerate(_contract_columns())]),
+        """reports AS (SELECT c_custkey AS report,
+          CASE c_custkey % 4 WHEN 0 THEN 'aws' WHEN 1 THEN 'azure' WHEN 2 THEN 'backwards' ELSE 'none' END AS plan FROM customer)""",
+        """providers AS (SELECT r.report, r.plan, n.step_no, n.step, n.needed, coalesce(
+            (SELECT arg_max(a.step, a.step_no) FROM adds a WHERE a.plan = n.plan AND a.added = n.needed AND a.step_no < n.step_no),
+            (SELECT max('(input)') FROM places p WHERE p.name = n.needed AND r.report % (p.place + 5) <> 0)) AS provider
+          FROM reports r LEFT JOIN needs n ON n.plan = r.plan)""",
+    ) + "SELECT *, provider IS NULL AS missing FROM providers"
+
+
+@query("check_contract", _contract_sql())
+def check_contract(spark, sf_dir):
+    """One landed report for each customer; which columns it lacks goes by the customer's number."""
+    names = [
+        F.when(F.col("c_custkey") % (n + 5) != 0, F.lit(name)) for n, name in enumerate(_contract_columns())
+    ]
+    plan = F.get(F.array(*map(F.lit, (*CONTRACT_PLANS, "none"))), (F.col("c_custkey") % 4).cast("int"))
+    reports = W.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("report"), plan.alias("plan"), F.array_compact(F.array(*names)).alias("columns")
+    )
+    return contracts(reports, CONTRACT_PLANS)

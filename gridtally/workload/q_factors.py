@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridtally import columns as C
 from gridtally.factors import build as B
 from gridtally.factors import fixed
+from gridtally.factors.json_tables import factor_rows, leaves
 from gridtally.factors.tables import load_factor_csv as load_csv
 from gridtally.factors.tables import parse_block, parse_factor_lines
 from gridtally.functions.storage import gb_month_hours
@@ -107,10 +108,11 @@ def unresolved_regions(spark, sf_dir):
     )
     + """SELECT provider, region, name, country, CASE WHEN CAST(substr(region, 3) AS BIGINT) % 11 = 0 THEN '1.5'
         ELSE latitude END AS latitude, longitude, CASE WHEN CAST(substr(region, 3) AS BIGINT) % 11 = 0 THEN 'Metro'
-        ELSE metro_area END AS metro_area FROM merged""",
+        ELSE metro_area END AS metro_area FROM merged
+        UNION ALL SELECT * FROM entries WHERE region <> '' AND region NOT LIKE 'r-%'""",
 )
 def factor_region_fixes(spark, sf_dir):
-    """Moves, promotions and edits worked out from customer numbers, all of one provider."""
+    """Moves, promotions and edits worked out from customer numbers, all of one provider. Codes of sites (s-) have none."""
     entries = B.region_entries(region_documents(spark, sf_dir).withColumn("provider", F.lit("one")))
     keys = W.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
     fields = ("latitude", "longitude", "metro_area", "name")
@@ -143,9 +145,7 @@ def factor_region_fixes(spark, sf_dir):
             )
         )
     )
-    fixed_regions = B.apply_region_fixes(
-        B.factor_regions(entries).where("region LIKE 'r-%'"), B.unresolved_regions(entries), fixes
-    )
+    fixed_regions = B.apply_region_fixes(B.factor_regions(entries), B.unresolved_regions(entries), fixes)
     number = F.substr("name", F.lit(7)).cast("bigint")
     site = F.substr("name", F.lit(6)).cast("bigint")
     owner = F.when(F.col("name").startswith("Place "), number).otherwise(site)
@@ -584,3 +584,81 @@ def unit_conversions(spark, sf_dir):
         (quantity * F.lit(B.LITRES_PER_GALLON)).alias("litres"),
         (quantity * F.lit(B.GRAMS_PER_KG)).alias("grams"),
     )
+
+
+# --- JSON factor files ---------------------------------------------------------------
+
+
+def factor_documents(spark, sf_dir) -> DataFrame:
+    """A factor file for each customer, of one of four layouts; some are cut short or hold no table."""
+    k = F.col("c_custkey")
+    number = k.cast("string")
+    disk = F.concat(
+        F.lit('{"MANAGED_DISKS": {"P'), number, F.lit('": {"capacity_gb": '), (k % 64).cast("string"),
+        F.lit(', "storage_type": "SSD"}, "E 1.x": {"capacity_gb": "many", "storage_type": "HDD"}}}'),
+    )
+    instance = F.concat(
+        F.lit('{"GPU_INSTANCES_TYPES": {"g'), number, F.lit('.large": {"type": "T4", "quantity": '), (k % 8).cast("string"),
+        F.lit('}}, "GPU_INFO": {"T4": {"min": 8.5, "max": '), (k % 100).cast("string"), F.lit("}}}"),
+    )
+    rules = F.concat(
+        F.lit('{"SSD_USAGE_TYPES": ["Gp'), number, F.lit('", "Piops"], "SSD_SERVICES": [], "HDD_USAGE_TYPES": ["St'),
+        number, F.lit('"]}'),
+    )
+    other = F.concat(F.lit('{"a": [1, {"b": "'), number, F.lit('"}], "n": null}'))
+    whole = F.when(k % 4 == 0, disk).when(k % 4 == 1, instance).when(k % 4 == 2, rules).otherwise(other)
+    payload = F.when(k % 11 == 0, F.left(whole, F.lit(20))).otherwise(whole)
+    return W.table(spark, sf_dir, "customer").select(number.alias("file"), payload.alias("payload"))
+
+
+_FILES = """files AS (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS file, c_custkey % 4 AS kind FROM customer
+  WHERE c_custkey % 11 <> 0)"""
+
+
+@query(
+    "load_factor_json",
+    O.with_(_FILES)
+    + """SELECT CAST(c_custkey AS VARCHAR) AS file, NULL AS layout, NULL AS key, NULL AS field, NULL AS value, 'no JSON' AS problem
+        FROM customer WHERE c_custkey % 11 = 0
+        UNION ALL SELECT file, NULL, NULL, NULL, NULL, 'no table' FROM files WHERE kind = 3
+        UNION ALL SELECT file, 'MANAGED_DISKS', 'P' || file, 'capacity_gb', CAST(k % 64 AS VARCHAR), NULL FROM files WHERE kind = 0
+        UNION ALL SELECT file, 'MANAGED_DISKS', 'P' || file, 'storage_type', 'SSD', NULL FROM files WHERE kind = 0
+        UNION ALL SELECT file, 'MANAGED_DISKS', 'E 1.x', 'capacity_gb', NULL, 'bad value: capacity_gb' FROM files WHERE kind = 0
+        UNION ALL SELECT file, 'MANAGED_DISKS', 'E 1.x', 'storage_type', 'HDD', 'bad value: capacity_gb' FROM files WHERE kind = 0
+        UNION ALL SELECT file, 'GPU_INSTANCES_TYPES', 'g' || file || '.large', 'type', 'T4', NULL FROM files WHERE kind = 1
+        UNION ALL SELECT file, 'GPU_INSTANCES_TYPES', 'g' || file || '.large', 'quantity', CAST(k % 8 AS VARCHAR), NULL FROM files
+          WHERE kind = 1
+        UNION ALL SELECT file, 'GPU_INFO', 'T4', 'min', '8.5', NULL FROM files WHERE kind = 1
+        UNION ALL SELECT file, 'GPU_INFO', 'T4', 'max', CAST(CAST(k % 100 AS DOUBLE) AS VARCHAR), NULL FROM files WHERE kind = 1
+        UNION ALL SELECT file, 'SSD_USAGE_TYPES', '0', 'token', 'Gp' || file, NULL FROM files WHERE kind = 2
+        UNION ALL SELECT file, 'SSD_USAGE_TYPES', '1', 'token', 'Piops', NULL FROM files WHERE kind = 2
+        UNION ALL SELECT file, 'HDD_USAGE_TYPES', '0', 'token', 'St' || file, NULL FROM files WHERE kind = 2""",
+)
+def load_factor_json(spark, sf_dir):
+    return factor_rows(factor_documents(spark, sf_dir))
+
+
+@query(
+    "factor_json_leaves",
+    O.with_(_FILES)
+    + """SELECT CAST(c_custkey AS VARCHAR) AS file, NULL AS path, NULL AS value, 'no JSON' AS problem FROM customer
+          WHERE c_custkey % 11 = 0
+        UNION ALL SELECT file, 'MANAGED_DISKS/P' || file || '/capacity_gb', CAST(k % 64 AS VARCHAR), NULL FROM files WHERE kind = 0
+        UNION ALL SELECT file, 'MANAGED_DISKS/P' || file || '/storage_type', 'SSD', NULL FROM files WHERE kind = 0
+        UNION ALL SELECT file, 'MANAGED_DISKS/E 1.x/capacity_gb', 'many', NULL FROM files WHERE kind = 0
+        UNION ALL SELECT file, 'MANAGED_DISKS/E 1.x/storage_type', 'HDD', NULL FROM files WHERE kind = 0
+        UNION ALL SELECT file, 'GPU_INSTANCES_TYPES/g' || file || '.large/type', 'T4', NULL FROM files WHERE kind = 1
+        UNION ALL SELECT file, 'GPU_INSTANCES_TYPES/g' || file || '.large/quantity', CAST(k % 8 AS VARCHAR), NULL FROM files
+          WHERE kind = 1
+        UNION ALL SELECT file, 'GPU_INFO/T4/min', '8.5', NULL FROM files WHERE kind = 1
+        UNION ALL SELECT file, 'GPU_INFO/T4/max', CAST(k % 100 AS VARCHAR), NULL FROM files WHERE kind = 1
+        UNION ALL SELECT file, 'SSD_USAGE_TYPES/0', 'Gp' || file, NULL FROM files WHERE kind = 2
+        UNION ALL SELECT file, 'SSD_USAGE_TYPES/1', 'Piops', NULL FROM files WHERE kind = 2
+        UNION ALL SELECT file, 'HDD_USAGE_TYPES/0', 'St' || file, NULL FROM files WHERE kind = 2
+        UNION ALL SELECT file, 'a/0', '1', NULL FROM files WHERE kind = 3
+        UNION ALL SELECT file, 'a/1/b', file, NULL FROM files WHERE kind = 3
+        UNION ALL SELECT file, 'n', NULL, NULL FROM files WHERE kind = 3""",
+)
+def factor_json_leaves(spark, sf_dir):
+    """Every value of the same files, found without naming a table."""
+    return leaves(factor_documents(spark, sf_dir))

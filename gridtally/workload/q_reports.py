@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from gridtally import columns as C
 from gridtally.factors import fixed
 from gridtally.factors.tables import parse_block
-from gridtally.functions.common import exact_sum, usage_charge
+from gridtally.functions.common import usage_charge
+from gridtally.functions.sums import exact_sums
 from gridtally.operators import split as S
 from gridtally.operators.quality import lookup_gaps
 from gridtally.plans import advice as A
@@ -208,15 +209,9 @@ def order_by_multi(spark, sf_dir):
     ),
 )
 def report_usage_predicate(spark, sf_dir):
-    return (
-        cur(spark, sf_dir)
-        .groupBy(F.col("line_item_line_item_type").alias("charge"))
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.count_if(usage_charge()).alias("usage_lines"),
-            exact_sum(F.col("BilledCost"), usage_charge()).alias("usage_cost"),
-        )
-    )
+    counts = [F.count(F.lit(1)).alias("lines"), F.count_if(usage_charge()).alias("usage_lines")]
+    charge = F.col("line_item_line_item_type").alias("charge")
+    return exact_sums(cur(spark, sf_dir), charge, also=counts, usage_cost=F.when(usage_charge(), F.col("BilledCost")))
 
 
 @query("filter_selection", sql(f"SELECT order_id, line_no, \"BILLING_PERIOD\", region FROM cur WHERE {IN_SCOPE}"))
@@ -493,16 +488,10 @@ def equivalence_sql(flavor: str) -> str:
 
 
 def totals_by_period(spark, sf_dir) -> DataFrame:
-    used = usage_charge()
-    return (
-        cur(spark, sf_dir)
-        .groupBy(C.BILLING_PERIOD)
-        .agg(
-            R.all_emissions_kg(used).alias("co2_kg"),
-            R.total(C.ENERGY, used).alias("energy_kwh"),
-            R.water(used).alias("water_l"),
-        )
-    )
+    used, sums = usage_charge(), R.Measures()
+    shown = {"co2_kg": sums.all_emissions_kg(used), "energy_kwh": sums.total(C.ENERGY, used), "water_l": sums.water(used)}
+    by_period = sums.by(cur(spark, sf_dir), C.BILLING_PERIOD)
+    return by_period.select(C.BILLING_PERIOD, *[value.alias(name) for name, value in shown.items()])
 
 
 @query("equivalences", equivalence_sql("Everyday"))
@@ -553,15 +542,17 @@ def recommend_region(spark, sf_dir):
     sql(
         INSTANCES,
         O.values("arm", "family, arm_family", parse_block(fixed.ARM_FAMILIES, str, str)),
-        "first_one AS (SELECT * FROM inst WHERE instance_type LIKE 'm5%' ORDER BY co2_usage_kg DESC, instance_type LIMIT 1)",
+        """first_one AS (SELECT * REPLACE (regexp_replace(instance_type, '^p3[.]', 'c5.') AS instance_type) FROM inst
+          ORDER BY co2_usage_kg DESC, instance_type LIMIT 1)""",
         """SELECT 'instance' AS kind, instance_type AS subject, co2_usage_kg AS value,
         'consider ' || arm_family || substr(instance_type, length(family) + 1) AS message
         FROM first_one JOIN arm ON family = split_part(instance_type, '.', 1)""",
     ),
 )
 def recommend_instance(spark, sf_dir):
-    """Among general-purpose types, so that there is one with an Arm counterpart."""
-    return A.recommend_instance(R.top_instance_types(cur(spark, sf_dir)).where("instance_type LIKE 'm5%'"))
+    """Over all lines; those of p3 machines are billed as c5, so that the largest emitter has an Arm counterpart."""
+    lines = cur(spark, sf_dir).withColumn("SkuMeter", F.regexp_replace("SkuMeter", ":p3[.]", ":c5."))
+    return A.recommend_instance(R.top_instance_types(lines))
 
 
 @query(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridtally import columns as C
-from gridtally.functions.common import exact_sum, rounded
+from gridtally.functions.common import rounded
+from gridtally.functions.sums import Sums, exact_sums
 from gridtally.plans import advice as A
 from gridtally.plans import reports as R
 from gridtally.sources.usage import conform
@@ -37,21 +39,41 @@ def rows(df):
     return [row.asDict() for row in df.collect()]
 
 
-def test_exact_sum_does_not_depend_on_order(spark):
-    values = [0.1 * n - 3.3 for n in range(1000)] + [1e9 - 0.25, -1e-9, None]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    sums = {df.repartition(n).agg(exact_sum(F.col("v")).alias("s")).first()["s"] for n in (1, 3, 7)}
-    assert len(sums) == 1 and sums.pop() == pytest.approx(sum(v for v in values if v is not None), abs=1e-6)
-    assert df.where("v IS NULL").agg(exact_sum(F.col("v")).alias("s")).first()["s"] is None
+def spread_values(chooser):
+    """Values of one sign or two, of few or very many sizes, and near-ties of doubles."""
+    low, high = chooser.choice([(-12, 12), (-3, 3), (0, 1), (-17, 30), (5, 6)])
+    values = [chooser.choice([-1, 1]) * chooser.random() * 10 ** chooser.uniform(low, high) for _ in range(chooser.choice([1, 2, 50]))]
+    large = float(chooser.getrandbits(53) | 1 << 52) * 2.0 ** chooser.randint(-30, 40)
+    tie = [large, math.ulp(large) / 2, math.ulp(large) * 2.0 ** -chooser.randint(5, 15)]
+    return values if chooser.random() < 0.5 else [chooser.choice([-1, 1]) * v for v in tie[: chooser.choice([2, 3])]]
 
 
-def test_sums_of_tiny_and_huge_values(spark):
-    tiny = spark.createDataFrame([(v,) for v in (1e-10, 2e-10, 3e-10)], "v double")
-    assert tiny.agg(exact_sum(F.col("v")).alias("s")).first()["s"] == pytest.approx(6e-10, rel=1e-11)
-    huge = spark.createDataFrame([(1e17,), (2.5e200,), (-1.0,)], "v double")
-    assert huge.agg(exact_sum(F.col("v")).alias("s")).first()["s"] == pytest.approx(2.5e200, rel=1e-11)
-    odd = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
-    assert math.isnan(odd.agg(exact_sum(F.col("v")).alias("s")).first()["s"])
+def test_sums_are_those_of_fsum(spark):
+    chooser = random.Random(3)
+    groups = {g: spread_values(chooser) for g in range(600)}
+    groups |= {700: [1e30, 1.0, -1e30], 701: [0.0, -0.0], 702: [5.0, -5.0], 703: [1.5e30, 1e-17], 704: [0.1] * 1000}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [(700, None)], "g int, v double")
+    for parts in (1, 7):
+        got = {r.g: r.s for r in exact_sums(df.repartition(parts), "g", s=F.col("v")).collect()}
+        assert got == {g: math.fsum(vs) for g, vs in groups.items()}
+
+
+def test_sums_of_few_and_odd_values(spark):
+    def total(*values):
+        return exact_sums(spark.createDataFrame([(v,) for v in values], "v double"), s=F.col("v")).first().s
+
+    assert total(None) is None and total(None, 1.5) == 1.5
+    assert total(1e17, 2.5e200, -1.0) == 2.5e200 and total(1e-320, 1e-320) == 2e-320
+    assert math.isnan(total(math.nan, 1.0)) and total(math.inf, 1.0) == math.inf and math.isnan(total(math.inf, -math.inf))
+
+
+def test_one_aggregation_of_several_sums(spark):
+    df = spark.createDataFrame([("a", 1.5, 1), ("a", -0.25, 0), ("b", None, 1)], "k string, v double, u int")
+    sums = Sums()
+    used, every = sums.total("v", F.col("u") == 1), sums.total("v")
+    mean, count = sums.mean("v")
+    rows_ = sums.by(df, "k", also=[F.count(F.lit(1)).alias("n"), count]).select("k", "n", used.alias("used"), every.alias("every"), mean.alias("mean"))
+    assert sorted(map(tuple, rows_.collect())) == [("a", 2, 1.5, 1.25, 0.625), ("b", 1, None, None, None)]
 
 
 @pytest.mark.parametrize("value, shown", [(1e17, 1e17), (-0.125, -0.13), (0.125, 0.13), (-2.0, -2.0), (1e-12, 0.0), (None, None)])
