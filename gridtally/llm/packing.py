@@ -52,7 +52,7 @@ LIMIT = 4096
 #: The id that ends each text.
 END = 1
 #: Characters of words whose ids a process keeps.
-KEPT = 3_000_000
+KEPT = 6_000_000
 
 _BLANK = re.compile("[ \t\r\n]")
 #: Words that composing leaves as they are, and that have one lower-case letter for each letter.
@@ -121,6 +121,7 @@ class Encoder:
         # Plain words are cut here only if the vocabulary is of the kind whose rule is known.
         self.direct = json.loads(vocabulary)["pre_tokenizer"] == _RULE and json.loads(vocabulary)["normalizer"] == _NORMAL
         self.known: dict[str, bytes] = {}
+        self.cuts: dict[str, bytes] = {}
         self.held = 0
 
     def __call__(self, text: str) -> bytes:
@@ -131,7 +132,7 @@ class Encoder:
         new = set(words).difference(self.known)
         if new:
             if self.held > KEPT:
-                self.known, self.held, new = {}, 0, set(words)
+                self.known, self.cuts, self.held, new = {}, {}, 0, set(words)
             odd = [word for word in new if not (self.direct and self._plain(word))]
             for word, coded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
                 self.known[word] = pack_ids(coded.ids)
@@ -140,13 +141,16 @@ class Encoder:
 
     def _plain(self, word: str) -> bool:
         """Whether the word is plain; its ids are then known."""
-        if not _PLAIN.fullmatch(word) or any(token in word for token in self.special):
+        if not _PLAIN.fullmatch(word) or any([token in word for token in self.special]):
             return False
-        merge, ids = self.tokenizer.model.tokenize, []
+        coded = []
         for cut in _CUT.findall(word.lower()):
-            spelt = cut if cut.isascii() else "".join([self.letters[b] for b in cut.encode()])
-            ids += [token.id for token in merge(spelt)]
-        self.known[word] = pack_ids(ids)
+            ids = self.cuts.get(cut)
+            if ids is None:
+                spelt = cut if cut.isascii() else "".join([self.letters[b] for b in cut.encode()])
+                ids = self.cuts[cut] = pack_ids([token.id for token in self.tokenizer.model.tokenize(spelt)])
+            coded.append(ids)
+        self.known[word] = b"".join(coded)
         return True
 
 

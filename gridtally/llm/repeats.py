@@ -314,36 +314,47 @@ def _one_by_one(cut: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
+_RESULT = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed", "kept")
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; ``kept`` are the remaining bytes."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text, removed, kept) of every row.
+
+    ``kept`` are the remaining bytes and ``kept_text`` their text, in which a character
+    of which only some bytes remain is U+FFFD; ``removed`` has the maximal runs of
+    removed bytes as start:stop, joined with commas.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text")
     )
     spans = repeats(keyed).groupBy("doc_id", "text_key")
-    spans = spans.agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    # A set: a text that comes many times under one key gives its spans once.
+    spans = spans.agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     spans = spans.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "spans")
     joined = keyed.join(spans, keyed.doc_id.eqNullSafe(spans._doc) & (keyed.text_key == spans._key), "left")
 
     def step(batch: pa.RecordBatch) -> Iterator[dict]:
-        rows: dict[str, list] = {name: [] for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
+        rows: dict[str, list] = {name: [] for name in _RESULT}
         for text, spans in zip(_texts(batch.column("text")), batch.column("spans")):
-            parts, at, runs = [], 0, 0
+            parts, at, runs, removed = [], 0, 0, ""
             if spans.is_valid and len(spans.values):
                 start = spans.values.field("start").to_numpy()
                 stop = spans.values.field("stop").to_numpy()
                 order = np.argsort(start, kind="stable")
                 _, start, stop = _merged(np.zeros(len(order), np.int64), start[order], stop[order])
                 runs = len(start)
+                removed = ",".join([f"{a}:{b}" for a, b in zip(start.tolist(), stop.tolist())])
                 for begin, end in zip(start.tolist(), stop.tolist()):
                     parts.append(text[at:begin])
                     at = end
             kept = b"".join([*parts, text[at:]])
-            for name, value in zip(rows, (len(text), len(text) - len(kept), runs, hashlib.sha256(kept).hexdigest(), kept)):
+            digest, shown = hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")
+            for name, value in zip(rows, (len(text), len(text) - len(kept), runs, digest, shown, removed, kept)):
                 rows[name].append(value)
         yield {"doc_id": batch.column("doc_id"), **rows}
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed string, kept binary"
     return mapped(joined.select("doc_id", "text", "spans"), step, schema)
 
 

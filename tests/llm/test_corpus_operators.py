@@ -300,7 +300,10 @@ def test_repeated_bytes(docs, monkeypatch, together):
                 gone[p : p + 400] = True
         kept = bytes(np.frombuffer(b, np.uint8)[~gone[:-1]])
         runs = int((gone[:-1] & ~np.concatenate(([False], gone[:-2]))).sum()) if b else 0
-        expect.append((i, len(b), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], gone[:-1].astype(int), [0])))).tolist()
+        removed = ",".join(f"{begin}:{end}" for begin, end in zip(edges[::2], edges[1::2]))
+        shown = kept.decode("utf-8", "replace")
+        expect.append((i, len(b), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), shown, removed))
     got = [tuple(r) for r in repeats.op8_repeated_bytes(docs).collect()]
     assert sorted(got, key=repr) == sorted(expect, key=repr)
 
