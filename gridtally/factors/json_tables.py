@@ -120,7 +120,16 @@ def factor_rows(documents: DataFrame) -> DataFrame:
         parts.append(rows.select("file", F.lit(root).alias("layout"), "key", F.inline(pairs), "problem"))
     for root in LISTED:
         rows = listed(documents, root)
-        parts.append(rows.select("file", F.lit(root).alias("layout"), F.col("place").cast("string").alias("key"), F.lit("token").alias("field"), F.col("token").alias("value"), none.alias("problem")))
+        parts.append(
+            rows.select(
+                "file",
+                F.lit(root).alias("layout"),
+                F.col("place").cast("string").alias("key"),
+                F.lit("token").alias("field"),
+                F.col("token").alias("value"),
+                none.alias("problem"),
+            )
+        )
     roots = [F.try_variant_get("doc", f"$.{root}", "variant").isNotNull() for root in (*KEYED, *LISTED)]
     held = roots[0]
     for other in roots[1:]:
