@@ -18,13 +18,17 @@ each side as the item has and a step more. Passages that start within an item's
 length of each other are verified together, so that a text is read a bounded number
 of times for each item, however long.
 
-The index is broadcast in shards of at most MAX_ITEMS items (by hash of the item,
-so about; longer items count as several entries), with one pass over the texts
-for each shard.
+Equal items are indexed once, by a digest of their text. Document frequencies, the
+number of entries and their mean length are counted by Spark over all entries and
+handed to every shard of the index, so scores do not depend on the shards. The index
+is broadcast in shards of MAX_ENTRIES entries (by hash of the text, so about), with
+one pass over the texts for each shard.
 
 Nulls: null or wordless texts and items match nothing; a null item_id is kept as
-null; rows with a null doc_id are searched too. Repeated items give one row each
-if their ids differ. Empty tables give no rows.
+null; rows with a null doc_id are searched too. A pair of doc_id and item_id gives
+one row, with its best match, if documents or items share a key (nulls together);
+equal items of several ids give one row for each. Empty tables give no rows. Other
+columns of both tables are not read.
 """
 
 from __future__ import annotations
@@ -41,6 +45,7 @@ from pyspark.sql import functions as F
 
 from gridtally.llm.tables import mapped, texts_of
 from gridtally.llm.words import mixed, slices, words
+from gridtally.session import written_once
 
 #: Words of a passage, and from one passage to the next; an entry has no more words than a step.
 PASSAGE = 128
@@ -53,8 +58,8 @@ RESERVE = 0.3
 OVERLAP = 0.6
 #: Entries of one block.
 BLOCK = 16
-#: Items of one shard of the index, about.
-MAX_ITEMS = 4096
+#: Entries of one shard of the index, about.
+MAX_ENTRIES = 4096
 K1, B = 1.2, 0.75
 
 _GRAM = np.random.default_rng(11).integers(1, 2**63, 3, dtype=np.uint64) | np.uint64(1)
@@ -92,8 +97,32 @@ class Index(NamedTuple):
     answers: list[np.ndarray]
 
 
-def build_index(items: list[tuple[object, str]]) -> Index:
-    """An index of (item_id, text); the first half of an item's words is its question."""
+class Statistics(NamedTuple):
+    """Counts over all entries of all shards; the terms are those of one shard."""
+
+    entries: int
+    words: int
+    terms: np.ndarray  # digests, sorted
+    seen: np.ndarray  # entries with each
+
+
+def entries_of(digest: np.ndarray) -> list[np.ndarray]:
+    """An item's words in entries of like length, none longer than a step."""
+    return [e for e in np.array_split(digest, max(1, math.ceil(len(digest) / STEP))) if len(e)]
+
+
+def statistics(entries: list[np.ndarray]) -> Statistics:
+    terms, seen = np.unique(
+        np.concatenate([np.zeros(0, np.uint64), *(np.unique(e) for e in entries)]), return_counts=True
+    )
+    return Statistics(len(entries), sum(map(len, entries)), terms, seen)
+
+
+def build_index(items: list[tuple[object, str]], counted: Statistics | None = None) -> Index:
+    """An index of (item, text); the first half of an item's words is its question.
+
+    ``counted`` holds the statistics of all shards, if these items are one of several.
+    """
     found = words([text or "" for _, text in items])
     entries: list[np.ndarray] = []
     owner: list[int] = []
@@ -104,22 +133,21 @@ def build_index(items: list[tuple[object, str]]) -> Index:
         lengths.append(len(digest))
         questions.append(np.unique(grams(digest[:half])))
         answers.append(np.unique(grams(digest[half:])))
-        for piece in np.array_split(digest, max(1, math.ceil(len(digest) / STEP))):
-            if len(piece):
-                entries.append(piece)
-                owner.append(i)
-    terms, seen = np.unique(np.concatenate([np.unique(e) for e in entries] or [found.digest]), return_counts=True)
+        for piece in entries_of(digest):
+            entries.append(piece)
+            owner.append(i)
+    everywhere, words_everywhere, terms, seen = counted or statistics(entries)
     number = len(entries)
-    idf = np.log(1 + (number - seen + 0.5) / (seen + 0.5))
-    mean = sum(map(len, entries)) / max(number, 1)
+    idf = np.log(1 + (everywhere - seen + 0.5) / (seen + 0.5))
+    mean = words_everywhere / max(everywhere, 1)
     # Entries of like length lie in one block, so that block maxima are close to their impacts.
     order = sorted(range(number), key=lambda e: len(entries[e]))
     full, needed = [], np.zeros(number)
     posted: list[tuple[int, int, float]] = []
     for place, e in enumerate(order):
-        counted = Counter(np.searchsorted(terms, entries[e]).tolist())
+        often = Counter(np.searchsorted(terms, entries[e]).tolist())
         norm = K1 * (1 - B + B * len(entries[e]) / mean)
-        weight = {t: idf[t] * n * (K1 + 1) / (n + norm) for t, n in counted.items()}
+        weight = {t: idf[t] * n * (K1 + 1) / (n + norm) for t, n in often.items()}
         own = sum(weight.values())
         weight = {t: w / own for t, w in weight.items()}
         full.append(weight)
@@ -254,7 +282,7 @@ def together(hits: list[tuple[int, int, float]], index: Index, begin: np.ndarray
 
 
 def search(docs: DataFrame, index: Index) -> DataFrame:
-    """Verified matches of one shard of the index: (doc_id, item_id, score, question_overlap, answer_overlap)."""
+    """Verified matches of one shard of the index: (doc_id, item, score, question_overlap, answer_overlap)."""
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def share(wanted: np.ndarray, have: np.ndarray) -> float:
@@ -285,23 +313,53 @@ def search(docs: DataFrame, index: Index) -> DataFrame:
         yield rows
 
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return mapped(keyed, step, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
+    return mapped(keyed, step, "doc_id long, item string, score double, question_overlap double, answer_overlap double")
 
 
-_COLUMNS = ("doc_id", "item_id", "score", "question_overlap", "answer_overlap")
+_COLUMNS = ("doc_id", "item", "score", "question_overlap", "answer_overlap")
+
+
+def _count(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Terms of each item with the entries that hold them; without a term, the item's entries and words."""
+    rows: dict[str, list] = {"item": [], "term": [], "seen": [], "words": []}
+    for item, text in zip(batch.column("item").to_pylist(), texts_of(batch.column("text"))):
+        found = statistics(entries_of(words([text]).digest))
+        rows["item"] += [item] * (len(found.terms) + 1)
+        rows["term"] += [None, *found.terms.view(np.int64).tolist()]
+        rows["seen"] += [found.entries, *found.seen.tolist()]
+        rows["words"] += [found.words] + [0] * len(found.terms)
+    yield rows
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """All verified matches of benchmark items in texts."""
+    """The best verified match of each benchmark item in each document."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
-    shards = max(1, math.ceil(items.count() / MAX_ITEMS))
-    out = None
-    for shard in range(shards):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        index = build_index([(row.item_id, row.text) for row in mine.collect()])
-        part = search(docs, index)
-        out = part if out is None else out.unionByName(part)
-    return out
+    items = items.withColumn("item", F.sha2("text", 256))
+    texts = items.groupBy("item").agg(F.min("text").alias("text"))
+    counts = written_once(mapped(texts, _count, "item string, term long, seen long, words long"), "item_terms")
+    everywhere = counts.where("term is null").agg(F.sum("seen").alias("entries"), F.sum("words").alias("words")).first()
+    shards = max(1, math.ceil((everywhere.entries or 0) / MAX_ENTRIES))
+    shard = F.pmod(F.xxhash64("item"), F.lit(shards)).cast("int").alias("shard")
+    texts = written_once(texts.select(shard, "item", "text"), "items")
+    by_term = counts.where("term is not null").groupBy("term").agg(F.sum("seen").alias("seen"))
+    in_shard = counts.where("term is not null").select(shard, "term").distinct().join(by_term, "term")
+    in_shard = written_once(in_shard, "shard_terms")
+    found = None
+    for n in range(shards):
+        # About MAX_ENTRIES entries of at most STEP words, and their terms.
+        mine = texts.where(F.col("shard") == n).select("item", "text").toArrow()
+        terms = in_shard.where(F.col("shard") == n).select("term", "seen").toArrow()
+        digest = terms.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(digest)
+        counted = Statistics(
+            everywhere.entries or 0, everywhere.words or 0, digest[order], terms.column("seen").to_numpy()[order]
+        )
+        pairs = sorted(zip(mine.column("item").to_pylist(), mine.column("text").to_pylist()))
+        part = search(docs, build_index(pairs, counted))
+        found = part if found is None else found.unionByName(part)
+    best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("best")
+    named = found.join(items.select("item", "item_id").distinct(), "item")
+    return named.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
 def op10_benchmark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -256,6 +256,25 @@ def test_mixing(spark, docs):
     assert mixing.op6_mixed_sample(docs).count() == len(TEXTS)
 
 
+def test_raking_meets_margins(spark):
+    """Margins that hang together need many rounds; targets of absent values; null margins; margins that cannot be met."""
+    cells = [("a", "x", 9000), ("a", "y", 30), ("b", "x", 20), ("b", "y", 50), ("b", None, 4)]
+    frame = spark.createDataFrame(cells, "source string, lang string, tokens long")
+    share = {"source": {"a": 0.3, "b": 0.7, "absent": 5.0}, "lang": {"x": 0.25, "y": 0.7, "unknown": 0.05}}
+    targets = {k: spark.createDataFrame(list(v.items()), f"{k} string, share double") for k, v in share.items()}
+    cells = mixing.raked(frame.fillna("unknown"), targets).collect()
+    for name, wanted in share.items():
+        for value in {c[name] for c in cells}:
+            part = sum(c.weight for c in cells if c[name] == value)
+            assert part == pytest.approx(wanted[value], abs=3 * mixing.TOLERANCE)
+    keyed = frame.selectExpr("monotonically_increasing_id() as doc_id", "*", "'z' as prob", "2 as weight")
+    got = mixing.mixed_sample(keyed.drop("prob", "weight"), targets, 0.01).collect()
+    assert len(got) == 5 and {r.lang for r in got} == {"x", "y", "unknown"}
+    apart = spark.createDataFrame([("a", "x", 5), ("b", "y", 5)], "source string, lang string, tokens long")
+    with pytest.warns(UserWarning, match="margins"):
+        assert mixing.raked(apart, {k: v for k, v in targets.items()}, rounds=3).count() == 2
+
+
 def shingle_set(text):
     w = re.findall(r"[^\W_]+", (text or "").lower())
     return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
@@ -356,6 +375,25 @@ def test_leaks_of_long_items(spark):
     assert got == {(i, i // 1000) for i, _ in docs}
 
 
+def test_leaks_do_not_depend_on_shards(spark, monkeypatch):
+    """Equal and repeated items, an id of two texts, clashing columns; words that are common in one shard only."""
+    items = [(i, made(30 + i % 90, 100 + i % 50)) for i in range(120)] + [(5, made(40, 999)), (None, made(30, 100)), (7, None)]
+    docs = [(i, made(60, 500 + i) + " " + items[i % 123][1] + " " + made(60, 700 + i)) for i in range(120)]
+    docs += [(200 + i, " ".join(items[i][1].split()[: 18 + i % 30])) for i in range(60)] + [(3, items[9][1]), (3, items[9][1]), (5, items[120][1])]
+    docs = [(i, text, "x", 1, 2.0) for i, text in docs]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, item string, shard int, score double")
+    bench = spark.createDataFrame([(*x, "y", 3) for x in items], "item_id long, text string, item string, doc_id int")
+
+    def found():
+        return sorted(decontaminate.leaks(frame, bench).collect(), key=repr)
+
+    whole = found()
+    assert len(whole) > 200 and {(3, 9), (0, 0), (0, None), (5, 5)} <= {(r.doc_id, r.item_id) for r in whole}
+    assert len(whole) == len({(r.doc_id, r.item_id) for r in whole})
+    monkeypatch.setattr(decontaminate, "MAX_ENTRIES", 16)
+    assert found() == whole
+
+
 def test_bounds_lose_no_entry():
     items = [(i, made(25 + i % 20, i)) for i in range(90)]
     index = decontaminate.build_index(items)
