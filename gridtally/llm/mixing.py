@@ -2,7 +2,9 @@
 
 The token totals of all combinations of margin values (cells) are raked: round by
 round, and margin by margin, the cells' weights are scaled to the margin's target
-shares (iterative proportional fitting). A cell's documents are then kept with
+shares (iterative proportional fitting), until no share that a round meets is off
+its target by TOLERANCE or more; margins that exclude each other end with a warning
+after MOST_ROUNDS rounds. A cell's documents are then kept with
 the probability min(1, s * weight / tokens), with the scale s such that the
 expected tokens are the wanted fraction of all; cells that would need more than
 they have are kept whole and the others make up for it. A document is in the
@@ -14,13 +16,14 @@ written after each margin, so every step is one sum and one join of a written ta
 
 Nulls: a null margin value is the value ``unknown``; a null key counts as the
 empty text in the digest; null tokens count as 0, and such documents follow their
-cell. Repeated keys share their fate. Target shares are scaled to 1; a value
-without a target has share 0, so its documents get probability 0. Empty tables
-give no rows.
+cell. Repeated keys share their fate. Target shares of the values that occur are
+scaled to 1; a value without a target has share 0, so its documents get
+probability 0. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +31,9 @@ from pyspark.sql import functions as F
 
 from gridtally.session import written_once
 
-ROUNDS = 8
+#: Raking ends when a round finds every margin's shares closer to their targets than this.
+TOLERANCE = 1e-6
+MOST_ROUNDS = 200
 FRACTION = 0.7
 MARGINS = ("source", "lang", "topic")
 #: Exponents of the registered query: its targets are tempered token shares.
@@ -68,22 +73,33 @@ def tempered(cells: DataFrame, margin: str, exponent: float) -> DataFrame:
     return totals.select(margin, F.pow(F.col("t").cast("double"), F.lit(exponent)).alias("share"))
 
 
-def raked(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+def raked(
+    cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = MOST_ROUNDS, tolerance: float = TOLERANCE
+) -> DataFrame:
     """Cells with a ``weight``; the weights add up to 1 and follow the targets."""
     columns = cells.columns
-    cells = cells.withColumn("weight", F.col("tokens").cast("double"))
     for name, target in targets.items():
-        target = written_once(target, "targets")
+        target = written_once(target.join(cells.select(name).distinct(), name, "left_semi"), "targets")
         whole = target.agg(F.sum("share")).first()[0] or 1.0
         share = target.select(name, (F.col("share") / F.lit(whole)).alias(f"share_{name}"))
-        cells = cells.join(share, name, "left")
-    cells = written_once(cells, "cells")
+        cells = cells.join(share, name, "left").fillna(0.0, subset=[f"share_{name}"])
+    error = 1.0
+    cells = written_once(cells.withColumns({"weight": F.col("tokens").cast("double"), "error": F.lit(0.0)}), "cells")
     for _ in range(rounds):
-        for name in targets:
+        for n, name in enumerate(targets):
+            share, found = F.col(f"share_{name}"), F.col("sum_weight")
+            off = F.abs(share - found)
             sums = cells.groupBy(name).agg(F.sum("weight").alias("sum_weight"))
-            factor = F.coalesce(F.col(f"share_{name}") / F.nullif(F.col("sum_weight"), F.lit(0.0)), F.lit(0.0))
-            cells = cells.join(sums, name).withColumn("weight", F.col("weight") * factor).drop("sum_weight")
-            cells = written_once(cells, "cells")
+            factor = F.coalesce(share / F.nullif(found, F.lit(0.0)), F.lit(0.0))
+            cells = cells.join(sums, name).withColumns(
+                {"weight": F.col("weight") * factor, "error": F.greatest("error", off) if n else off}
+            )
+            cells = written_once(cells.drop("sum_weight"), "cells")
+        error = cells.agg(F.max("error")).first()[0] or 0.0
+        if error < tolerance:
+            break
+    else:
+        warnings.warn(f"margins are missed by up to {error:.2g} after {rounds} rounds", stacklevel=2)
     return cells.select(*columns, "weight")
 
 
@@ -113,13 +129,14 @@ def uniform() -> Column:
 
 
 def mixed_sample(
-    rows: DataFrame, targets: Mapping[str, float | DataFrame], fraction: float = FRACTION, rounds: int = ROUNDS
+    rows: DataFrame, targets: Mapping[str, float | DataFrame], fraction: float = FRACTION, rounds: int = MOST_ROUNDS
 ) -> DataFrame:
     """All rows (doc_id, margins, tokens) with ``prob`` and whether they are ``sampled``.
 
     A target is a frame (margin, share), or an exponent for tempered shares.
     """
     margins = list(targets)
+    rows = rows.withColumns({name: F.coalesce(F.col(name).cast("string"), F.lit("unknown")) for name in margins})
     cells = rows.groupBy(*margins).agg(F.sum(F.coalesce("tokens", F.lit(0))).alias("tokens"))
     cells = written_once(cells, "cells")
     frames = {k: tempered(cells, k, v) if isinstance(v, float) else v for k, v in targets.items()}
@@ -135,25 +152,23 @@ def op6_mixed_sample(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The registered query in SQL: the rounds unrolled, the scale in closed form."""
-    steps = []
-    last = "cells"
-    for r in range(ROUNDS):
-        for name in MARGINS:
-            new = f"w_{r}_{name}"
-            steps.append(
-                f"{new} AS (SELECT c.source, c.lang, c.topic, c.tokens, "
-                f"c.weight * t.share / sum(c.weight) OVER (PARTITION BY c.{name}) AS weight "
-                f"FROM {last} c JOIN t_{name} t ON c.{name} = t.{name})"
-            )
-            last = new
+    """The registered query in SQL: rounds by recursion, the scale in closed form."""
+    step, errors = "raked", []
+    for name in MARGINS:
+        errors.append(f"off_{name}")
+        step = (
+            f"(SELECT * EXCLUDE (share, found, off) REPLACE (CASE WHEN found > 0 THEN weight * share / found ELSE 0 END AS weight), "
+            f"off AS off_{name} FROM ("
+            f"SELECT c.*, t.share, sum(c.weight) OVER m AS found, abs(t.share - sum(c.weight) OVER m) AS off "
+            f"FROM {step} c JOIN t_{name} t ON c.{name} = t.{name} WINDOW m AS (PARTITION BY c.{name})))"
+        )
     targets = ", ".join(
         f"t_{name} AS (SELECT {name}, pow(sum(tokens), {TEMPER[name]}) / sum(pow(sum(tokens), {TEMPER[name]})) OVER () "
         f"AS share FROM cells GROUP BY {name})"
         for name in MARGINS
     )
     return f"""
-WITH described AS (
+WITH RECURSIVE described AS (
   SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang,
     CASE WHEN text LIKE '% | %' THEN 'table'
          WHEN text LIKE '%!! %' THEN 'shouted'
@@ -165,13 +180,17 @@ cells AS (
   SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens, CAST(sum(tokens) AS DOUBLE) AS weight
   FROM described GROUP BY ALL),
 {targets},
-{", ".join(steps)},
+raked AS (
+  SELECT 0 AS round, source, lang, topic, tokens, weight, CAST(1 AS DOUBLE) AS error FROM cells
+  UNION ALL
+  SELECT round + 1, source, lang, topic, tokens, weight, max(greatest({", ".join(errors)})) OVER ()
+  FROM {step} WHERE error >= {TOLERANCE} AND round < {MOST_ROUNDS}),
 ranked AS (
   SELECT *, weight / tokens AS ratio,
     coalesce(sum(tokens) OVER before, 0) AS full_tokens,
     sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS rest_weight,
     sum(tokens) OVER () AS all_tokens
-  FROM {last}
+  FROM (SELECT * FROM raked WHERE round = (SELECT max(round) FROM raked))
   WINDOW before AS (ORDER BY weight / tokens DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 scales AS (
   SELECT max(({FRACTION} * all_tokens - full_tokens) / rest_weight) AS best
