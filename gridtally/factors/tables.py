@@ -19,8 +19,11 @@ from pyspark.sql import types as T
 
 from gridtally import columns as C
 from gridtally.factors import fixed
+from gridtally.factors.patterns import resolve
 
 MAX_BROADCAST_ROWS = 200_000
+#: Region patterns of a provider that become part of the plan; more are joined by key.
+MAX_PLANNED_PATTERNS = 50
 
 
 def literal(value: object) -> str:
@@ -159,6 +162,7 @@ class Factors:
     compute: Dim
     tokens: Dim
     patterns: dict[str, list[tuple[str, float | None, float | None]]] = field(default_factory=dict)
+    many_patterns: dict[str, DataFrame] = field(default_factory=dict)
     _merged: dict[str, Dim] = field(default_factory=dict, init=False, repr=False, compare=False)
 
     @staticmethod
@@ -218,12 +222,15 @@ class Factors:
     def with_efficiency(self, provider: str, frame: DataFrame) -> Factors:
         """Replace one provider's PUE/WUE table (``EFFICIENCY_SCHEMA``)."""
         dim = Dim.checked(frame)
-        rows = frame.where(is_pattern(F.col("region"))).orderBy("ordinal").toLocalIterator()
-        found = [(row["region"], row["pue"], row["wue"]) for row in rows]
+        patterns = frame.where(is_pattern(F.col("region")))
+        rows = patterns.orderBy("ordinal", "region").limit(MAX_PLANNED_PATTERNS + 1).collect()
+        few = len(rows) <= MAX_PLANNED_PATTERNS
+        others = {key: value for key, value in self.many_patterns.items() if key != provider}
         return replace(
             self,
             efficiency={**self.efficiency, provider: dim},
-            patterns={**self.patterns, provider: found},
+            patterns={**self.patterns, provider: [(r["region"], r["pue"], r["wue"]) for r in rows] if few else []},
+            many_patterns=others if few else {**others, provider: patterns},
         )
 
     def region_dim(self, provider: str) -> Dim:
@@ -263,13 +270,19 @@ class Factors:
         merged = merged.groupBy("region").agg(
             *[F.max(name).alias(name) for name in ("intensity", "wcf", "stress", "pue", "wue")]
         )
+        by_pattern = {m: self.pattern_value(provider, F.col("region"), m) for m in ("pue", "wue")}
+        if provider in self.many_patterns:
+            named = merged.where("region IS NOT NULL").select("region")
+            found = resolve(named, self.many_patterns[provider])
+            merged = merged.join(found.withColumnsRenamed({"pue": "_pue", "wue": "_wue"}), "region", "left")
+            by_pattern = {m: F.col(f"_{m}") for m in ("pue", "wue")}
         frame = merged.select(
             "region",
             "intensity",
             "wcf",
             F.col("stress").cast("int").alias("stress"),
-            F.coalesce("pue", self.pattern_value(provider, F.col("region"), "pue")).alias("pue"),
-            F.coalesce("wue", self.pattern_value(provider, F.col("region"), "wue")).alias("wue"),
+            F.coalesce("pue", by_pattern["pue"]).alias("pue"),
+            F.coalesce("wue", by_pattern["wue"]).alias("wue"),
             F.lit(True).alias("known"),
         )
         sources = [self.intensity, self.water, self.stress, *([efficiency] if efficiency else [])]
@@ -284,6 +297,20 @@ class Factors:
                 result = F.when(region.rlike(f"^(?:{row[0]})$"), F.lit(row[at])).otherwise(result)
         return result
 
+    def with_pattern_values(self, df: DataFrame, provider: str, region: Column) -> DataFrame:
+        """Add ``_rp_pue`` and ``_rp_wue`` for regions that no table names, if patterns are too many to be planned.
+
+        ``region`` is NULL where a table names it. Reads the distinct regions of ``df`` ahead of its rows.
+        """
+        if provider not in self.many_patterns:
+            return df
+        if df.isStreaming:
+            raise ValueError(f"a stream takes at most {MAX_PLANNED_PATTERNS} region patterns")
+        unnamed = df.select(region.alias("region")).where("region <> ''").distinct()
+        found = resolve(unnamed, self.many_patterns[provider])
+        found = found.withColumnsRenamed({name: f"_rp_{name}" for name in found.columns})
+        return df.join(found, spread_nulls(df, region) == F.col("_rp_region"), "left").drop("_rp_region")
+
     def token_dim(self) -> Dim:
         """Label -> coefficients: the two hops merged ahead of the usage join."""
         if "tokens" not in self._merged:

@@ -267,7 +267,9 @@ def with_region_factors(df: DataFrame, run: Run) -> DataFrame:
     """Join the merged region table unless an earlier operator already did."""
     if "_rg_known" in df.columns:
         return df
-    return lookup(df, run.factors.region_dim(run.provider), F.col(C.REGION), "region", "_rg_")
+    df = lookup(df, run.factors.region_dim(run.provider), F.col(C.REGION), "region", "_rg_")
+    unnamed = F.when(F.col("_rg_known").isNull(), F.col(C.REGION))
+    return run.factors.with_pattern_values(df, run.provider, unnamed)
 
 
 def _region_lookup(df: DataFrame, run: Run) -> DataFrame:
@@ -276,13 +278,16 @@ def _region_lookup(df: DataFrame, run: Run) -> DataFrame:
 
 
 def without_region_factors(df: DataFrame) -> DataFrame:
-    return df.drop(*[f"_rg_{name}" for name in _REGION_FIELDS])
+    return df.drop(*[f"_rg_{name}" for name in _REGION_FIELDS], "_rp_pue", "_rp_wue")
 
 
 def region_measure(run: Run, measure: str) -> Column:
     """PUE or WUE of a row's region: by name, else by pattern; NULL without a region."""
     named = F.col(C.REGION)
-    by_pattern = run.factors.pattern_value(run.provider, named, measure)
+    if run.provider in run.factors.many_patterns:
+        by_pattern = F.col(f"_rp_{measure}")
+    else:
+        by_pattern = run.factors.pattern_value(run.provider, named, measure)
     return F.when(F.col("_rg_known"), F.col(f"_rg_{measure}")).when(present(named), by_pattern)
 
 

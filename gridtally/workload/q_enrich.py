@@ -440,6 +440,39 @@ def join_region_pattern(spark, sf_dir):
     )
 
 
+# Efficiency patterns, one for each part, and a region for each customer: more than can be tried one by one.
+_MANY_PATTERNS = """
+SELECT CAST(p_partkey AS INT) AS ordinal,
+  CASE p_partkey % 4 WHEN 0 THEN concat('r', p_partkey % 25, '-', p_partkey % 97, '.*')
+    WHEN 1 THEN concat('r', p_partkey % 25, '-[0-9]+', substr('abc', CAST(p_partkey % 3 + 1 AS INT), 1))
+    WHEN 2 THEN concat('.+-', p_partkey % 97, 'a')
+    ELSE concat('r', p_partkey % 23, '-1+|r', p_partkey % 25, '-2.') END AS region,
+  CASE WHEN p_partkey % 5 > 0 THEN CAST(1 + p_size / 64.0 AS DOUBLE) END AS pue,
+  CASE WHEN p_partkey % 3 > 0 THEN CAST(p_size / 64.0 AS DOUBLE) END AS wue
+FROM part"""
+_MANY_REGIONS = """
+SELECT DISTINCT concat('r', c_nationkey, '-', c_custkey % 193, substr('abcd', CAST(c_custkey % 4 + 1 AS INT), 1)) AS region
+FROM customer"""
+
+
+@query(
+    "join_many_patterns",
+    f"""
+WITH patterns AS ({_MANY_PATTERNS}), regions AS ({_MANY_REGIONS})
+SELECT r.region, min_by(p.pue, p.ordinal) FILTER (p.pue IS NOT NULL) AS pue,
+  min_by(p.wue, p.ordinal) FILTER (p.wue IS NOT NULL) AS wue
+FROM regions r LEFT JOIN patterns p ON regexp_full_match(r.region, p.region) GROUP BY r.region""",
+)
+def join_many_patterns(spark, sf_dir):
+    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("part", "customer")}
+    patterns = spark.sql(_MANY_PATTERNS.replace("FROM part", "FROM {part}"), part=tables["part"])
+    used = spark.sql(_MANY_REGIONS.replace("FROM customer", "FROM {customer}"), customer=tables["customer"])
+    run = Run(C.AWS, C.NATIVE, W.sample_factors(spark, C.AWS).with_efficiency(C.AWS, patterns))
+    return ops.with_region_factors(used.withColumnRenamed("region", C.REGION), run).select(
+        F.col(C.REGION).alias("region"), ops.region_measure(run, "pue").alias("pue"), ops.region_measure(run, "wue").alias("wue")
+    )
+
+
 @query(
     "join_region_factors",
     aws_sql("SELECT region, intensity, wcf, stress, count(*) AS lines FROM g JOIN regf USING (region) GROUP BY ALL"),

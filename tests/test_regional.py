@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridtally import columns as C
+from gridtally.factors import tables
+from gridtally.factors.patterns import literal_head, literal_tail
 from gridtally.factors.tables import Factors, values_frame
 from gridtally.functions import bridge
 from gridtally.operators import enrich as ops
@@ -78,6 +81,42 @@ def test_overlapping_patterns_follow_file_order_per_measure(spark):
     assert (row[C.PUE], row[C.WUE]) == (1.5, 0.7)
 
 
+def test_literal_ends_of_patterns(spark):
+    cases = [
+        ("us-.*", "us-", ""), ("us*", "u", ""), ("us-east", "us-east", "us-east"), (".+-east", "", "-east"), ("a|b.c", "", ""),
+        (r"us\d-x", "us", ""), ("(?i)us-x", "", ""), ("[ab]-x", "", "-x"), ("a{2}b", "", "b"), ("", "", ""), ("eu-1?x", "eu-", "x"),
+    ]
+    frame = spark.createDataFrame([(p,) for p, _, _ in cases], "p string")
+    got = frame.select("p", literal_head(F.col("p")), literal_tail(F.col("p"))).collect()
+    assert [tuple(row) for row in got] == cases
+
+
+@pytest.mark.parametrize("planned", [0, 100])
+def test_many_patterns_give_what_few_give(spark, monkeypatch, planned):
+    """Joined by key or planned one by one; overlaps, measures apart, regions named in a table, empty and null ones."""
+    monkeypatch.setattr(tables, "MAX_PLANNED_PATTERNS", planned)
+    patterns = [
+        (0, "zz-a.+", 1.5, None), (1, "zz-.+", 1.9, 0.7), (2, ".+-tail", None, 0.1), (3, ".+-tail", 1.2, 0.2),
+        (4, "[xy]+|zz.*", 1.3, 0.3), (5, "plain-1", 1.4, 0.4), (6, "eu-west-[12].*", 9.0, 9.0), (7, r"q\d.", 1.6, None),
+        (8, None, 1.7, 0.1), (9, "zz*.", 1.8, 0.8),
+    ]
+    names = ["zz-abc", "zz-b", "q-tail", "xyx", "plain-1", "plain-2", "q1x", "qax", "eu-west-1", "zz", "z!", "", None]
+    table = values_frame(spark, patterns, "ordinal int, region string, pue double, wue double")
+    factors = Factors.default(spark).with_efficiency(C.AWS, table)
+    assert (C.AWS in factors.many_patterns) == (planned == 0)
+    got = run(spark, C.AWS, C.NATIVE, [at(name) for name in names], ops.region, ops.efficiency, factors=factors)
+
+    def value(name, place):
+        fits = [p[place] for p in patterns if name and p[1] and p[place] is not None and re.fullmatch(p[1], name)]
+        return fits[0] if fits else None
+
+    found = {row[C.REGION] or None: (row[C.PUE], row[C.WUE]) for row in got}
+    assert len(got) == len(names)
+    for name in names:
+        pue = value(name, 2)
+        assert found[name or None] == (1.15 if pue is None else pue, value(name, 3)), name
+
+
 def test_water_and_emissions(spark):
     got = run(spark, C.AWS, C.NATIVE, [at("us-east-1"), at("ap-south-1"), at("nowhere"), at("us-east-1", None)], *ALL)
     first, stressed, unknown, idle = got
