@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from gridtally import columns as C
 from gridtally.factors import tables
-from gridtally.factors.patterns import literal_head, literal_tail
-from gridtally.factors.tables import Factors, values_frame
+from gridtally.factors.patterns import literal_head, literal_tail, resolve, trie
+from gridtally.factors.tables import EFFICIENCY_SCHEMA, Factors, values_frame
 from gridtally.functions import bridge
 from gridtally.operators import enrich as ops
 from gridtally.operators.base import ContractError, Operator, bound
@@ -91,6 +91,27 @@ def test_literal_ends_of_patterns(spark):
     assert [tuple(row) for row in got] == cases
 
 
+def test_alternatives_hang_on_nodes_of_their_own(spark):
+    """Only texts without head and tail may meet all regions."""
+    rows = [
+        (0, "a1-1+|b2-2.", 1.0, None), (1, "(a|b)x", 2.0, 2.5), (2, "c[0-9]|", 3.0, None), (3, "(?i)q|A1.*", 4.0, None),
+        (4, "a1-1+|zz", 5.0, 5.5), (5, "[a|b]", 6.0, None), (6, "b2-2a", 7.0, 7.5),
+    ]
+    patterns = spark.createDataFrame(rows, EFFICIENCY_SCHEMA)
+    nodes = {(r.side, r.key, r.text) for r in trie(patterns).collect()}
+    assert nodes == {
+        ("head", "a1-", "a1-1+"), ("head", "b2-2", "b2-2."), ("head", "", "(a|b)x"), ("head", "c", "c[0-9]"), ("head", "", ""),
+        ("head", "", "(?i)q|A1.*"), ("head", "zz", "zz"), ("head", "", "[a|b]"), ("head", "b2-2a", "b2-2a"),
+    }
+    regions = ["a1-11", "a1-", "b2-2a", "ax", "c7", "", "Q", "zz", "|", "none"]
+    found = resolve(spark.createDataFrame([(r,) for r in regions], "region string"), patterns)
+    assert {r.region: (r.pue, r.wue) for r in found.collect()} == {
+        "a1-11": (1.0, 5.5), "a1-": (4.0, None), "b2-2a": (1.0, 7.5), "ax": (2.0, 2.5), "c7": (3.0, None), "": (3.0, None),
+        "Q": (4.0, None), "zz": (5.0, 5.5), "|": (6.0, None),
+    }
+
+
+
 @pytest.mark.parametrize("planned", [0, 100])
 def test_many_patterns_give_what_few_give(spark, monkeypatch, planned):
     """Joined by key or planned one by one; overlaps, measures apart, regions named in a table, empty and null ones."""
