@@ -47,6 +47,19 @@ def test_written_periods_are_folders(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(BILLING_PERIOD" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("write", [U.write_usage])
+def test_rows_are_dealt_by_period_before_they_are_written(spark, tmp_path, write):
+    """Or each task would sort all periods of its input, and write a file for each of them."""
+    path = str(tmp_path / "t")
+    periods = F.when(F.col("id") % 5 > 0, F.concat(F.lit("2025-0"), (F.col("id") % 5).cast("string")))
+    lines = spark.range(0, 1000, 1, 7).select(F.col("id").alias("n"), periods.alias("BILLING_PERIOD"))
+    write(lines, path)
+    folders = [f for f in (tmp_path / "t").iterdir() if f.is_dir()]
+    assert [len(list(f.glob("*.parquet"))) for f in folders] == [1] * 5
+    back = U.read_enriched(spark, path).select("n", "BILLING_PERIOD").collect()
+    assert sorted(map(tuple, back)) == sorted(map(tuple, lines.collect()))
+
+
 def test_anonymize(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "line_item_usage_account_id int, region int, Quantity int, mine int")
     assert U.anonymize(df, C.AWS).columns == ["region"]
