@@ -47,7 +47,7 @@ def test_written_periods_are_folders(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(BILLING_PERIOD" in plan._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("write", [U.write_usage])
+@pytest.mark.parametrize("write", [U.write_usage, U.replace_periods])
 def test_rows_are_dealt_by_period_before_they_are_written(spark, tmp_path, write):
     """Or each task would sort all periods of its input, and write a file for each of them."""
     path = str(tmp_path / "t")
