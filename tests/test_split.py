@@ -105,3 +105,15 @@ def test_split_by_tag(spark):
     )
     got = [(r["key"], r["value"], r["total_g"]) for r in split_by_tag(df, "ns").collect()]
     assert got == [("ns", "b", 5.0), ("ns", "a", 3.0)]
+
+
+def test_tasks_hold_few_groups(spark):
+    """A task that sums rows meets neighbouring groups, not those of all rows that it read."""
+    lines = [(n, f"d{n % 2000:04}", "null", "r", "1", 1.0, 1.0, 1.0) for n in range(8000)]
+    lines += [(n, "hot", "null", "r", "1", 1.0, 1.0, 1.0) for n in range(8000, 16000)]
+    usage = spark.createDataFrame(lines, SCHEMA).repartition(4, "n")
+    totals = S.group_totals(usage)
+    plan = totals._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RepartitionByExpression")
+    found = {r.interval: r[C.ENERGY] for r in totals.collect()}
+    assert len(found) == 2001 and found["hot"] == 8000.0 and {v for k, v in found.items() if k != "hot"} == {4.0}
