@@ -10,16 +10,23 @@ most r = sqrt(2 - 2t). Equal vectors are one class.
 2. A query probes all lists but those from whose cell it is more than r away: a
    vector of such a list lies beyond the plane midway between the two centroids,
    so it is no loss. Where vectors have no groups that is most lists, and the work
-   grows with the square of the table.
+   would grow with the square of the table. Where a trial on the sample says that
+   it costs less, every class is put into lists of several random codes instead: of
+   a number of random directions, the one that it has the largest part in. Two
+   vectors of a given cosine share a list with a chance that depends on the cosine
+   alone, whatever the data (``share``), and there are as many codes as make a pair
+   at the threshold miss all of them less than once in 1 / MISS times; pairs
+   beyond it are missed more rarely. With MISS = 0 only the bound is used.
 3. In a list, distances come from lookup tables of the query's subspaces and the
    codes. A pair stays if that distance less the code's own error is at most r,
    which loses no link.
 4. What stays gets its cosine in double precision. Links are counted for the
-   query; a spanning forest of the links leaves the task, not the pairs.
+   query, of random lists in the first that the pair shares; a spanning forest of
+   the links leaves the task, not the pairs.
 
 Neighbouring lists lie in one section, so that a query is sent once to a section
 and not to each list that it probes there. Sections of many members or queries are
-cut into blocks, each pair of which is a group of its own.
+cut into blocks, each pair of which is a group of its own; so are random lists.
 
 Nulls: vectors that are null, zero, of another dimension than most, or that hold
 null or non-finite components link with nothing; so do rows with a null vec_id,
@@ -56,6 +63,19 @@ SECTION = 32
 #: Members and queries of one block.
 MEMBERS = 4096
 QUERIES = 8192
+#: Chance that random lists miss a link at the threshold; with 0 they are not used.
+MISS = 1e-9
+#: Directions of a random code, and codes that make up a list, to choose from.
+SIZES = (8, 16, 32, 64, 128, 256)
+FACTORS = (1, 2, 3)
+#: Rows of one block of a random list, and those of them looked up at once.
+BLOCK = 4096
+AT_ONCE = 512
+#: Nanoseconds, about: a pair by probes and by random lists, a row of a random list,
+#: a component of a direction.
+PROBED, PAIR, ROW, COMPONENT = 100, 5, 15_000, 0.1
+#: Classes of the sample that the costs are tried on, at most.
+TRIAL = 4000
 #: Distances are compared with this slack; cosines are not.
 SLACK = 1e-6
 
@@ -118,6 +138,57 @@ def probes(index: Index, points: np.ndarray, home: np.ndarray, radius: float) ->
     return beyond <= radius + SLACK
 
 
+def share(size: int, cosine: float) -> float:
+    """At least the chance that two vectors have their largest part in the same one of ``size`` random directions.
+
+    Their parts in a normal direction are normal with the cosine as correlation, in any
+    dimension. The joint density is summed over cells, with the probability below each
+    cell's lower corner.
+    """
+    rho, step = min(max(cosine, -0.999), 0.999), 0.02
+    x = np.arange(-6, 6, step) + step / 2
+    a, b = x[:, None], x[None, :]
+    density = np.zeros((len(x) + 1, len(x) + 1))
+    density[1:, 1:] = np.exp(-(a**2 - 2 * rho * a * b + b**2) / (2 - 2 * rho**2))
+    density /= density.sum()
+    below = density.cumsum(axis=0).cumsum(axis=1)[:-1, :-1]
+    return float(size * (density[1:, 1:] * below ** (size - 1)).sum())
+
+
+def random_lists(directions: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """The random list of each point in each turn; directions are turns by factors by size by dimension."""
+    points = points.astype(np.float32)
+    lists = np.zeros((len(points), len(directions)), np.int32)
+    for t, turn in enumerate(directions):
+        for factor in turn:
+            lists[:, t] = lists[:, t] * len(factor) + (points @ factor.T).argmax(axis=1)
+    return lists
+
+
+def chosen_directions(index: Index, points: np.ndarray, number: int, threshold: float) -> np.ndarray | None:
+    """Directions of the random lists that cost least, or None if probing by the bound does."""
+    if not MISS or len(points) < 2:
+        return None
+    trial = points[:TRIAL]
+    home = _squares(trial, index.centroids).argmin(axis=1)
+    least = PROBED * number * probes(index, trial, home, math.sqrt(2 - 2 * threshold)).mean()
+    random, best = np.random.default_rng(3), None
+    for size in SIZES:
+        for factors in FACTORS:
+            chance = max(share(size, threshold) ** factors, 1e-12)
+            turns = math.ceil(math.log(MISS) / math.log1p(-chance))
+            row = ROW + COMPONENT * points.shape[1] * size * factors
+            if turns * row >= least:
+                continue
+            tried = random.normal(size=(1, factors, size, points.shape[1])).astype(np.float32)
+            met = np.unique(random_lists(tried, trial), return_counts=True)[1]
+            alike = (met * (met - 1.0)).sum() / (len(trial) * (len(trial) - 1))
+            cost = turns * (row + PAIR * number * alike / 2)
+            if cost < least:
+                least, best = cost, (turns, factors, size, points.shape[1])
+    return None if best is None else random.normal(size=best).astype(np.float32)
+
+
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.stack([np.frombuffer(x, np.float64) for x in column.to_pylist()])
 
@@ -131,6 +202,22 @@ def _close(index: Index, home: int, queries: np.ndarray, codes: np.ndarray, erro
     return (total <= ((radius + error + 1e-4) ** 2)[:, None]).T
 
 
+def _may_link(
+    index: Index, queries: np.ndarray, codes: np.ndarray, home: np.ndarray, error: np.ndarray, radius: float
+) -> np.ndarray:
+    """As ``_close``, for members of several lists: inner products are looked up, whose tables serve all of them."""
+    at, home = np.unique(home, return_inverse=True)
+    queries = queries.astype(np.float32)
+    # Members by queries, so that whole rows of a table are added.
+    total = (index.centroids[at].astype(np.float32) @ queries.T)[home]
+    stands = np.pad(index.centroids[at], ((0, 0), (0, index.width * SUBSPACES - queries.shape[1])))[home]
+    for s, part in enumerate(_parts(index, queries)):
+        total += (index.books[s].astype(np.float32) @ part.T)[codes[:, s]]
+        stands[:, s * index.width : (s + 1) * index.width] += index.books[s][codes[:, s]]
+    least = (1 + (stands**2).sum(axis=1) - (radius + error + 1e-4) ** 2) / 2
+    return (total >= least.astype(np.float32)[:, None]).T
+
+
 def _linked(unit: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
     """Those of the pairs whose exact cosine reaches the threshold."""
     parts = [np.zeros(0)]
@@ -187,7 +274,11 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not sample:
         return spark.createDataFrame([], "a long, b long, links long")
     points = np.stack([np.frombuffer(r.unit, np.float64) for r in sample])
-    sent = spark.sparkContext.broadcast(fit(points, lists))
+    index = fit(points, lists)
+    directions = chosen_directions(index, points, number, threshold)
+    if directions is not None:
+        return _random_links(classes, index, directions, threshold)
+    sent = spark.sparkContext.broadcast(index)
 
     def place(batch: pa.RecordBatch) -> Iterator[dict]:
         index, points = sent.value, _matrix(batch.column("unit"))
@@ -267,6 +358,87 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return together.select(*columns).mapInArrow(run, "a long, b long, links long")
 
 
+def _random_links(classes: DataFrame, index: Index, directions: np.ndarray, threshold: float) -> DataFrame:
+    """The links of classes that share a random list, as of ``links``."""
+    radius = math.sqrt(2 - 2 * threshold)
+    sent = classes.sparkSession.sparkContext.broadcast((index, directions))
+
+    def place(batch: pa.RecordBatch) -> Iterator[dict]:
+        index, directions = sent.value
+        points = _matrix(batch.column("unit"))
+        home = _squares(points, index.centroids).argmin(axis=1)
+        codes, error = encode(index, points, home)
+        yield {
+            "rep": batch.column("rep"),
+            "n": batch.column("n"),
+            "unit": batch.column("unit"),
+            "home": home.astype(np.int32),
+            "codes": [row.tobytes() for row in codes],
+            "error": error,
+            "dealt": list(random_lists(directions, points)),
+        }
+
+    schema = "rep long, n long, unit binary, home int, codes binary, error double, dealt array<int>"
+    placed = written_once(mapped(classes.select("rep", "n", "unit"), place, schema), "index")
+    places = placed.select("*", F.posexplode("dealt").alias("turn", "place"))
+    # One row for each list longer than a block.
+    long = places.groupBy("turn", "place").count().where(F.col("count") > BLOCK)
+    blocks = long.select("turn", "place", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    keys = ["turn", "place", "low", "high"]
+    together = (
+        places.join(F.broadcast(blocks), ["turn", "place"], "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
+        .drop("blocks", "other")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys)
+    )
+
+    def run(batches: Batches) -> Batches:
+        index, _ = sent.value
+        for group in in_groups(batches, keys):
+            if group.num_rows < 2:
+                continue
+            turn, low, high = (group.column(name)[0].as_py() for name in ("turn", "low", "high"))
+            rep, n, unit = group.column("rep").to_numpy(), group.column("n").to_numpy(), _matrix(group.column("unit"))
+            codes = np.stack([np.frombuffer(x, np.uint8) for x in group.column("codes").to_pylist()])
+            home, error, own = (group.column(name).to_numpy() for name in ("home", "error", "own"))
+            dealt = group.column("dealt").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)[:, :turn]
+            one, other = np.flatnonzero(own == low), np.flatnonzero(own == high)
+            count, edges = np.zeros(len(rep)), [np.zeros((2, 0), np.int64)]
+            for k in range(0, len(one), AT_ONCE):
+                query, member = one[k : k + AT_ONCE], other[k:] if low == high else other
+                close = _may_link(index, unit[query], codes[member], home[member], error[member], radius)
+                i, j = np.nonzero(np.triu(close, 1) if low == high else close)
+                i, j = query[i], member[j]
+                # A pair counts in the first list that it shares.
+                for before in dealt.T:
+                    new = before[i] != before[j]
+                    i, j = i[new], j[new]
+                i, j = _linked(unit, i, j, threshold)
+                if len(i):
+                    count += np.bincount(i, n[j], len(rep)) + np.bincount(j, n[i], len(rep))
+                    edges.append(np.stack(forest(rep[i], rep[j])))
+            have = np.flatnonzero(count)
+            if not len(have):
+                continue
+            a, b = np.concatenate(edges, axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate((rep[have], a))),
+                    pa.concat_arrays([pa.nulls(len(have), pa.int64()), pa.array(b)]),
+                    pa.array(np.concatenate((count[have].astype(np.int64), np.zeros(len(a), np.int64)))),
+                ],
+                names=["a", "b", "links"],
+            )
+
+    columns = (*keys, "own", "rep", "n", "unit", "home", "codes", "error", "dealt")
+    return together.select(*columns).mapInArrow(run, "a long, b long, links long")
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     chosen = classes_of(vectors)

@@ -187,6 +187,52 @@ def test_vectors_of_many_lists(spark, monkeypatch):
     assert [got[i] for i in range(len(points))] == expect.tolist()
 
 
+@pytest.mark.parametrize("block", [4096, 100])
+def test_vectors_in_random_lists(spark, monkeypatch, block):
+    """Random lists find the links that all pairs have: at all angles, in a large group of near copies, of equal vectors."""
+    monkeypatch.setattr(embeddings, "PROBED", 1e9)
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "AT_ONCE", 64)
+    chooser = np.random.default_rng(8)
+    middle = chooser.normal(size=(300, 24))
+    points = [middle + chooser.normal(size=middle.shape) * s for s in (0, 0.2, 0.3, 0.35, 0.5)]
+    points = np.concatenate([*points, middle[0] + chooser.normal(size=(400, 24)) * 0.1, middle[:5], 3 * middle[:5]])
+    chosen = []
+    choose = embeddings.chosen_directions
+    monkeypatch.setattr(embeddings, "chosen_directions", lambda *given: chosen.append(choose(*given)) or chosen[-1])
+    frame = spark.createDataFrame(list(enumerate(points.tolist())), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in near_duplicates(frame).collect()}
+    assert chosen[0] is not None
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    i, j = np.nonzero(unit @ unit.T >= 0.9)
+    root = dict(zip(*(x.tolist() for x in embeddings.forest(i[i != j], j[i != j]))))
+    assert [got[k].n_links for k in range(len(points))] == (np.bincount(i) - 1).tolist()
+    assert [got[k].component_id for k in range(len(points))] == [root.get(k, k) for k in range(len(points))]
+
+
+def test_work_on_vectors_without_groups(monkeypatch):
+    """Ten times the vectors meet about as many in their lists; without a chance of a miss the bound alone is used."""
+    points = np.random.default_rng(9).normal(size=(2000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    index = embeddings.fit(points, 16)
+    met = []
+    for number in (100_000, 1_000_000):
+        turns, factors, size, _ = embeddings.chosen_directions(index, points, number, 0.9).shape
+        assert (1 - embeddings.share(size, 0.9) ** factors) ** turns <= embeddings.MISS
+        met.append(turns * number / size**factors)
+    assert met[0] < 0.6 * 100_000 and met[1] < 4 * met[0]
+    monkeypatch.setattr(embeddings, "MISS", 0)
+    assert embeddings.chosen_directions(index, points, 1_000_000, 0.9) is None
+
+
+@pytest.mark.parametrize("size", [2, 8, 64])
+def test_share_of_random_lists(size):
+    """No more than the share of random codes in which two vectors at that cosine meet, and not much less."""
+    directions = np.random.default_rng(size).normal(size=(20_000, 1, size, 3)).astype(np.float32)
+    one, other = embeddings.random_lists(directions, np.array([[1, 0, 0], [0.9, math.sqrt(0.19), 0]]))
+    assert -0.01 < (one == other).mean() - embeddings.share(size, 0.9) < 0.03
+
+
 def test_forward_backward_is_exact():
     chooser = np.random.default_rng(2)
     score, passing = chooser.normal(size=(7, 3)), chooser.normal(size=(3, 3))
