@@ -18,6 +18,7 @@ from gridtally.llm.components import components
 from gridtally.llm.embeddings import near_duplicates
 from gridtally.llm.jaccard import similar
 from gridtally.llm.words import words
+from gridtally.session import written_once
 
 SYLLABLES = "ta re mi so lan dor vek hun pil".split()
 ENDINGS = "a e i o u ast ent".split()
@@ -373,6 +374,36 @@ def test_repeated_bytes(docs, monkeypatch, together):
     assert sorted(got, key=repr) == sorted(expect, key=repr)
 
 
+def test_frequent_bucket_is_not_held_in_one_task(spark, monkeypatch):
+    passage = made(60, 50)[:340]
+    rows = [(i, f"{made(40, 100 + i)} {passage} {made(40, 200 + i)}") for i in range(40)]
+    rows += [(100 + i, "y" + rows[i][1][:500] + "z" * i) for i in range(3)]
+    plans = []
+
+    def written(frame, label):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return written_once(frame, label)
+
+    monkeypatch.setattr(repeats, "written_once", written)
+    monkeypatch.setattr(repeats, "TOGETHER", 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) text_key", "text")
+        found = repeats.repeats(keyed)
+        by_bucket = re.compile(r"SortMergeJoin \[bucket#\d+L\]")
+        # Spark splits a large key of this join only where no side is aggregated on the way.
+        assert all("Aggregate" not in plan for plan in plans if by_bucket.search(plan))
+        assert sum(bool(by_bucket.search(plan)) for plan in plans) == 1
+        assert not by_bucket.search(found._jdf.queryExecution().executedPlan().toString())
+        got = {(r.doc_id, p) for r in found.collect() for p in range(r.start, r.stop)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    count = Counter(t[p : p + 400] for _, t in rows for p in range(len(t) - 399))
+    starts = [(i, p) for i, t in rows for p in range(len(t) - 399) if count[t[p : p + 400]] > 1]
+    assert got == {(i, q) for i, p in starts for q in range(p, p + 400)} and starts
+
+
 def test_token_counts(spark):
     texts = [None, "", "one line", "a\n\nbb  cc\n ddd\n", "\n\n", "naïve\n\t\tç'est   \n  x", made(50, 1) + "\n" + made(9, 2)]
     frame = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, section string")
