@@ -60,6 +60,36 @@ def test_rows_are_dealt_by_period_before_they_are_written(spark, tmp_path, write
     assert sorted(map(tuple, back)) == sorted(map(tuple, lines.collect()))
 
 
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (files.apply(n).getName() for n in range(files.size())) if f.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("open_periods", [128, 2])
+@pytest.mark.parametrize("write", [U.write_usage])
+def test_large_frames_are_written_without_a_shuffle(spark, tmp_path, monkeypatch, write, open_periods):
+    """Or every row would lie on disk twice, once as wide as in memory; also with more periods than open files."""
+    for name, value in {"DEALT_BELOW": 4000, "LEAST_SOURCE": 2000, "MOST_SOURCE": 3000, "OPEN_PERIODS": open_periods}.items():
+        monkeypatch.setattr(U, name, value)
+    path = str(tmp_path / "t")
+    periods = F.when(F.col("id") % 5 > 0, F.concat(F.lit("2025-0"), (F.col("id") % 5).cast("string")))
+    lines = spark.range(0, 1000, 1, 7).select(F.col("id").alias("n"), periods.alias("BILLING_PERIOD"))
+    assert U.source_bytes(lines) == 8000
+    before = shuffle_files(spark)
+    write(lines, path)
+    assert not shuffle_files(spark) - before
+    folders = [f for f in (tmp_path / "t").iterdir() if f.is_dir()]
+    assert [len(list(f.glob("*.parquet"))) for f in folders] == [4] * 5
+    assert spark.conf.get(U.OPEN_WRITERS) == "0"
+    back = U.read_enriched(spark, path).select("n", "BILLING_PERIOD").collect()
+    assert sorted(map(tuple, back)) == sorted(map(tuple, lines.collect()))
+
+
+def test_sources_of_unknown_size_are_dealt(spark):
+    rows = spark.createDataFrame(spark.sparkContext.parallelize([("2025-01", 1)], 2), "BILLING_PERIOD string, n int")
+    assert U.source_bytes(rows) is None and U.source_bytes(rows.join(spark.range(9))) is None
+
+
 def test_anonymize(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "line_item_usage_account_id int, region int, Quantity int, mine int")
     assert U.anonymize(df, C.AWS).columns == ["region"]
